@@ -121,9 +121,12 @@ def features(t, stays):
 
 
 def dataset(t, stays):
-    """Cohort with its measurements."""
-    measured = features(t, stays).drop("stay_id")
-    return tables.left_join(stays, measured, "subject_id")
+    """Cohort with its measurements.
+
+    A cohort has one stay per subject, so joining on the stay is the same as on
+    the subject, and the features are already partitioned that way.
+    """
+    return tables.left_join(stays, features(t, stays), "stay_id")
 
 
 def build(t):
