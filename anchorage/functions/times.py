@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-# Far enough back that every difference from it is positive, so Spark's
-# truncation of partial units is a floor.
+# Far enough back that every difference from it is positive, so that dividing
+# the difference rounds down.
 _ORIGIN = "timestamp_ntz'0001-01-01 00:00:00'"
 
 
@@ -35,9 +35,18 @@ def bounds(t, before, after=0):
     return t - hours(before), t + hours(after)
 
 
+def since_origin(t, unit):
+    """How many whole intervals ``unit`` lie between a fixed origin and ``t``, exactly.
+
+    Interval arithmetic stays without zone; ``timestampdiff`` would go through
+    the session's.
+    """
+    return F.call_function("div", _col(t).cast("timestamp_ntz") - F.expr(_ORIGIN), unit)
+
+
 def micros(t):
-    """Microseconds on a fixed origin; order-preserving and zone-free."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_ORIGIN), _col(t).cast("timestamp_ntz"))
+    """Microseconds since a fixed origin."""
+    return since_origin(t, F.expr("interval '0.000001' second"))
 
 
 def seconds(a, b):
@@ -46,11 +55,8 @@ def seconds(a, b):
     Counting boundaries (not elapsed whole seconds) makes 23:59:59.5 lie one
     second before 00:00:00.
     """
-
-    def whole(t):
-        return F.timestamp_diff("SECOND", F.expr(_ORIGIN), _col(t).cast("timestamp_ntz"))
-
-    return whole(b) - whole(a)
+    second = F.expr("interval '1' second")
+    return since_origin(b, second) - since_origin(a, second)
 
 
 def age(anchor_age, anchor_year, at):

@@ -1,9 +1,8 @@
 """Reports: rates, correlations, distributions. Rows are reduced before anything is multiplied."""
 
-import math
-
 from pyspark.sql import functions as F
 
+from anchorage.functions.names import quoted, rows, text
 from anchorage.operators import ranking, split
 
 
@@ -20,12 +19,9 @@ def rate_by(df, flag, label):
     per = df.groupBy(F.col(flag).alias("flag")).agg(
         F.count(label).alias("rows"), (F.avg(label) * 100).alias("rate_pct")
     )
-    y = F.col(label)
-    gap = df.agg(
-        F.abs(
-            F.avg(F.when(F.col(flag) == 0, y)) * 100 - F.avg(F.when(F.col(flag) == 1, y)) * 100
-        ).alias("gap")
-    )
+    # over the groups, not the rows; the grouped shuffle is reused
+    rate = "max(case when flag = {} then rate_pct end)"
+    gap = per.agg(F.expr(f"abs({rate.format(0)} - {rate.format(1)})"))
     return per.withColumn("difference_pct", gap.scalar())
 
 
@@ -53,14 +49,14 @@ def bootstrap_mean(df, by, label, replicates=1000, seed=42, level=0.95):
     )
 
     @F.pandas_udf("double")
-    def resampled(rows, mean, key):
+    def resampled(n, rate, key):
         import numpy as np
         import pandas as pd
 
         return pd.Series(
             [
-                np.random.Generator(np.random.Philox(key=int(k) & (2**64 - 1))).binomial(n, p) / n
-                for n, p, k in zip(rows, mean, key)
+                np.random.Generator(np.random.Philox(key=int(k) & (2**64 - 1))).binomial(m, p) / m
+                for m, p, k in zip(n, rate, key)
             ]
         )
 
@@ -89,29 +85,25 @@ def corr(df, cols=None):
     cols = cols or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     # a row counts for (a, a) whenever a is present
-    aggs = [
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{k}")
-        for k, (a, b) in enumerate(pairs)
-    ]
-    one = df.agg(*aggs)
+    one = df.agg(*[_corr(a, b, f"r{k}") for k, (a, b) in enumerate(pairs)])
 
     def cell(a, b, k):
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{k}").alias("r"))
+        return f"{text(a)} as a, {text(b)} as b, r{k} as r"
 
     cells = [cell(a, b, k) for k, (a, b) in enumerate(pairs)]
     cells += [cell(b, a, k) for k, (a, b) in enumerate(pairs) if a != b]
-    return one.select(F.inline(F.array(*cells)))
+    return one.selectExpr(rows(cells))
+
+
+def _corr(a, b, out):
+    return F.expr(f"corr(cast({quoted(a)} as double), cast({quoted(b)} as double)) as {out}")
 
 
 def corr_with(df, label, cols=None):
     """(column, r): correlation of every numeric column with the label, label left out."""
     cols = [c for c in (cols or numeric_columns(df)) if c != label]
-    y = F.col(label).cast("double")
-    one = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(f"r{i}") for i, c in enumerate(cols)])
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)
-    ]
-    return one.select(F.inline(F.array(*cells)))
+    one = df.agg(*[_corr(c, label, f"r{i}") for i, c in enumerate(cols)])
+    return one.selectExpr(rows(f"{text(c)} as column, r{i} as r" for i, c in enumerate(cols)))
 
 
 def top_corr(df, label, k=10, cols=None):
@@ -124,10 +116,18 @@ def _range(df, x):
     return df.agg(F.struct(F.min(x).alias("low"), F.max(x).alias("high")).alias("r")).scalar()
 
 
-def histogram(df, x, by, bins=10):
-    """(by, bin, low, rows): equal-width bins over the column's range; the last one is closed."""
+def histogram(df, x, by, bins=10, low=None, high=None):
+    """(by, bin, low, rows): equal-width bins, the last one closed.
+
+    Without ``low`` and ``high`` the column's range is taken, which costs a pass
+    over that column; with them, values outside are left out.
+    """
     seen = df.where(F.col(x).isNotNull()).select(by, F.col(x).cast("double").alias("_x"))
-    ranged = seen.withColumn("_r", _range(seen, "_x"))
+    if low is None or high is None:
+        ranged = seen.withColumn("_r", _range(seen, "_x"))
+    else:
+        ends = F.struct(F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high"))
+        ranged = seen.where(F.col("_x").between(low, high)).withColumn("_r", ends)
     width = (F.col("_r.high") - F.col("_r.low")) / F.lit(float(bins))
     index = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_x") - F.col("_r.low")) / width), F.lit(bins - 1))
@@ -157,28 +157,24 @@ def kde(df, x, by, low, high, points=50):
     paired = counted.join(spread.where("_h > 0"), "_g")
 
     def height(g):
-        u = (F.lit(g) - F.col("_x")) / F.col("_h")
-        return F.sum(F.col("_n") * F.exp(F.lit(-0.5) * u * u))
+        return f"sum(_n * exp(-0.5D * power((double('{g!r}') - _x) / _h, 2)))"
 
     sums = paired.groupBy("_g", "_rows", "_h").agg(
-        *[height(g).alias(f"k{i}") for i, g in enumerate(grid)]
+        *[F.expr(f"{height(g)} as k{i}") for i, g in enumerate(grid)]
     )
-    norm = F.col("_rows") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
-    cells = F.array(
-        *[
-            F.struct(F.lit(i).alias("point"), F.lit(g).alias("x"), (F.col(f"k{i}") / norm).alias("density"))
-            for i, g in enumerate(grid)
-        ]
+    cells = rows(
+        f"{i} as point, double('{g!r}') as x, k{i} / (_rows * _h * sqrt(2 * pi())) as density"
+        for i, g in enumerate(grid)
     )
-    return sums.select(F.col("_g").alias(by), F.inline(cells))
+    return sums.selectExpr(f"_g as {quoted(by)}", cells)
 
 
 def scatter(df, x, y, by, key=None, frac=1.0, seed=42):
     """(x, y, by) rows with both values; ``frac`` < 1 thins them by the hash of ``key`` for drawing."""
-    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     if frac < 1.0:
-        rows = split.sample(rows, key, frac, seed)
-    return rows.select(x, y, by)
+        both = split.sample(both, key, frac, seed)
+    return both.select(x, y, by)
 
 
 def study_counts(meta, subject="subject_id", date="StudyDate", study="study_id"):

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from anchorage.functions import values
+from anchorage.functions.names import quoted
 
-STATS = {"min": F.min, "max": F.max, "mean": F.avg}
+STATS = {"min": "min", "max": "max", "mean": "avg"}
 
 
 def flatten_long(df, key, item, value, codes, suffix=""):
@@ -13,21 +13,24 @@ def flatten_long(df, key, item, value, codes, suffix=""):
     ``codes`` = {feature: [item codes]}; several codes pool into one feature. All
     features come out of a single hash aggregate with map-side combine.
     """
-    wanted = {f: values.when_item(item, c, value) for f, c in codes.items()}
+    wanted = {
+        f: f"case when {quoted(item)} in ({', '.join(str(int(code)) for code in group)}) then {quoted(value)} end"
+        for f, group in codes.items()
+    }
     return _flatten(df, key, wanted, suffix)
 
 
 def flatten_wide(df, key, cols, suffix=""):
     """The same for a wide table; ``cols`` = {feature: column}."""
-    return _flatten(df, key, {f: F.col(c) for f, c in cols.items()}, suffix)
+    return _flatten(df, key, {f: quoted(c) for f, c in cols.items()}, suffix)
 
 
 def _flatten(df, key, wanted, suffix):
     key = [key] if isinstance(key, str) else list(key)
     aggs = [
-        fn(v).alias(f"{f}_{s}{suffix}") for f, v in wanted.items() for s, fn in STATS.items()
+        f"{fn}({v}) as {quoted(f'{f}_{s}{suffix}')}" for f, v in wanted.items() for s, fn in STATS.items()
     ]
-    return df.groupBy(*key).agg(*aggs)
+    return df.groupBy(*key).agg(*map(F.expr, aggs))
 
 
 def only_items(df, item, value, codes):
@@ -39,13 +42,12 @@ def only_items(df, item, value, codes):
 def merged(feats, first, second):
     """Columns merging two flattened sources given their suffixes.
 
-    The mean is the first source's if it has one; the extremes span both.
+    The mean is the first source's if it has one; the extremes span both
+    (``least`` and ``greatest`` skip nulls).
     """
-    out = []
-    for f in feats:
-        out += [
-            values.prefer(f"{f}_mean{first}", f"{f}_mean{second}").alias(f"{f}_mean"),
-            values.merge_min(f"{f}_min{first}", f"{f}_min{second}").alias(f"{f}_min"),
-            values.merge_max(f"{f}_max{first}", f"{f}_max{second}").alias(f"{f}_max"),
-        ]
-    return out
+    rules = {"mean": "coalesce", "min": "least", "max": "greatest"}
+    return [
+        F.expr(f"{rule}({quoted(f'{f}_{s}{first}')}, {quoted(f'{f}_{s}{second}')}) as {quoted(f'{f}_{s}')}")
+        for f in feats
+        for s, rule in rules.items()
+    ]

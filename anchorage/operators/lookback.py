@@ -13,19 +13,18 @@ from pyspark.sql import functions as F
 from anchorage.functions import times
 from anchorage.operators import ordered
 
-HOUR = 3_600_000_000
 _SLOT = "_slot"
 
 
 def _width(before, after):
     if before + after <= 0:
         raise ValueError("the window must have a length")
-    return int((before + after) * HOUR)
+    return times.hours(before + after)
 
 
 def slot(t, width):
-    """Index of the time slot of ``width`` microseconds that ``t`` falls in."""
-    return F.call_function("div", times.micros(t), F.lit(width))
+    """Index of the time slot of length ``width`` that ``t`` falls in; -1 without a time."""
+    return F.coalesce(times.since_origin(t, width), F.lit(-1))
 
 
 def _keys(on):
@@ -83,7 +82,7 @@ def nearest(anchor, events, on, t0, t, before, tie, key=None, after=0, pick="clo
         raise ValueError(f"pick must be 'closest' or 'farthest', not {pick!r}")
     on = _keys(on)
     pairs = join(anchor, events, on, t0, t, before, after)
-    gap = F.abs(times.micros(t0) - times.micros(t))
+    gap = F.abs(F.col(t0) - F.col(t))
     if pick == "farthest":
         gap = -gap
     key = list(key) if key else list(anchor.columns)

@@ -20,7 +20,7 @@ def fingerprint(df, cols=None, digest="sha2"):
     hashed = F.sha2(text, 256) if digest == "sha2" else F.md5(text)
     a, b = hashing.slices(hashed)
     total = [
-        F.coalesce(F.sum(s.cast("decimal(19,0)")), F.lit(0)).cast("string").alias(n)
+        F.coalesce(F.sum(s.cast("decimal(28,0)")), F.lit(0)).cast("string").alias(n)
         for s, n in ((a, "slice_a"), (b, "slice_b"))
     ]
     return df.agg(F.count(F.lit(1)).alias("rows"), *total)
@@ -37,8 +37,8 @@ def file_hashes(spark, root, pattern="*"):
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def build(spark, datasets, params=None, revision=None, ref=None):
-    """(key, value) rows describing a run; ``datasets`` = {name: DataFrame}.
+def build(spark, datasets, params=None, paths=None, revision=None, ref=None):
+    """(key, value) rows describing a run; ``datasets`` = {name: DataFrame}, ``paths`` = {name: path}.
 
     Code revision and reference come from the caller or from ``GIT_SHA`` and
     ``GIT_REF``.
@@ -54,6 +54,7 @@ def build(spark, datasets, params=None, revision=None, ref=None):
         "environment.shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
     }
     fixed |= {k: str(v) for k, v in (params or {}).items()}
+    fixed |= {f"dataset.{k}_filepath": v for k, v in (paths or {}).items()}
     out = spark.createDataFrame(sorted(fixed.items()), "key string, value string")
     for name, df in datasets.items():
         f = fingerprint(df)
@@ -61,12 +62,4 @@ def build(spark, datasets, params=None, revision=None, ref=None):
         out = out.unionByName(
             f.select(F.lit(f"dataset.{name}_fingerprint").alias("key"), body.alias("value"))
         )
-        paths = df.inputFiles()
-        if paths:
-            # inputs are named by their folders, not file by file
-            folders = sorted({p.rsplit("/", 1)[0] for p in paths})
-            row = spark.createDataFrame(
-                [(f"dataset.{name}_filepath", ", ".join(folders))], "key string, value string"
-            )
-            out = out.unionByName(row)
     return out

@@ -105,6 +105,8 @@ def running_sums(df, by, order, sums, buckets=None, descending=False, totals=())
     ``<output>_total``. Rows must be unique in (by, order); ``by`` must not be null.
     """
     by, order = list(by), list(order)
+    if buckets == 1:
+        return _plain_sums(df, by, order, sums, descending, totals)
     coded = with_buckets(df, order, buckets)
     per_bucket = coded.groupBy(*by, _BUCKET).agg(
         *[F.sum(v).alias(f"_sum_{k}") for k, v in sums.items()]
@@ -131,6 +133,19 @@ def running_sums(df, by, order, sums, buckets=None, descending=False, totals=())
     return joined.drop(_BUCKET, *[f"_off_{k}" for k in sums])
 
 
+def _plain_sums(df, by, order, sums, descending, totals):
+    """The single-window form, for callers that know their groups to be small."""
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    upto = group.orderBy(*_sorting(order, descending)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return df.select(
+        "*",
+        *[F.sum(sums[k]).over(group).alias(f"{k}_total") for k in totals],
+        *[F.sum(v).over(upto).alias(k) for k, v in sums.items()],
+    )
+
+
 def row_numbers(df, by, order, out="row_number", buckets=None):
     """Number rows 1, 2, ... within ``by`` in ascending ``order``; the last key must be unique."""
     one = df.withColumn("_one", F.lit(1).cast("long"))

@@ -6,9 +6,12 @@ subquery, so there is no join and the plan stays lazy; it fits unseen data too.
 
 from pyspark.sql import functions as F
 
+from anchorage.functions.names import quoted, rows, text
 from anchorage.operators import ordered
 
 EPSILON = 1e-8
+# rows up to which exact medians of all columns fit comfortably into one task
+SMALL = 100_000
 
 
 def _row(one):
@@ -31,100 +34,110 @@ def encode(df, col, mapping):
 
 def indicators(df, feats):
     """``<f>_missing`` = 1 where the feature was never measured; always for every feature."""
-    return df.withColumns({f"{f}_missing": F.col(f"{f}_max").isNull().cast("int") for f in feats})
+    flags = [f"cast({quoted(f'{f}_max')} is null as int) as {quoted(f'{f}_missing')}" for f in feats]
+    return df.selectExpr("*", *flags)
 
 
-def fit_medians(df, cols, approx=False, accuracy=10_000):
+def fit_medians(df, cols, approx=False, accuracy=10_000, small=SMALL):
     """Exact median of each column as a one-row frame; all-null columns give null.
 
-    Sorting or collecting whole columns would not scale. A sketch first brackets
-    each median within a few ten-thousandths of the rows; only values inside the
-    bracket are counted, and the running counts pick the middle one or two.
-    ``approx`` stops at the sketch.
+    Up to ``small`` rows the built-in aggregate is used, which keeps every
+    distinct value. Beyond that a sketch first brackets each median within a few
+    ten-thousandths of the rows; only values inside the bracket are counted, and
+    the running counts pick the middle one or two. ``approx`` stops at the sketch.
     """
     cols = list(cols)
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    wide = df.selectExpr(*[f"cast({quoted(c)} as double) as {quoted(c)}" for c in cols])
     if approx:
-        return wide.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols])
+        return _each(wide, cols, f"percentile_approx({{}}, 0.5, {accuracy})")
+    n = wide.count()
+    if n <= small:
+        return _each(wide, cols, "median({})")
+
     slack = 2.0 / accuracy
-    sketch = wide.agg(
-        *[F.percentile_approx(c, [0.5 - slack, 0.5 + slack], accuracy).alias(c) for c in cols]
-    ).first()
-    known = {c: sketch[c] for c in cols if sketch[c]}
-    if not known:
-        return wide.agg(*[F.max(c).alias(c) for c in cols])
+    sketch = _each(wide, cols, f"percentile_approx({{}}, array({0.5 - slack}, {0.5 + slack}), {accuracy})")
+    bracket = {c: tuple(map(_double, span)) for c, span in sketch.first().asDict().items() if span}
+    if not bracket:
+        return _each(wide, cols, "max({})")
+    # distinct values a bracket can hold: its share of the rows, with the sketch's own error
+    return _middle(wide, cols, bracket, buckets=1 if 3 * slack * n <= small else None)
+
+
+def _each(df, cols, aggregate):
+    return df.agg(*[F.expr(f"{aggregate.format(quoted(c))} as {quoted(c)}") for c in cols])
+
 
+def _double(x):
+    return f"double('{x!r}')"
+
+
+def _middle(wide, cols, bracket, buckets):
+    """Medians of the bracketed columns from the counts of the values inside their brackets."""
     below = wide.agg(
         *[
-            F.struct(F.count(c).alias("n"), F.count_if(F.col(c) < lo).alias("below")).alias(c)
-            for c, (lo, _) in known.items()
+            F.expr(f"struct(count({quoted(c)}) as n, count_if({quoted(c)} < {lo}) as below) as {quoted(c)}")
+            for c, (lo, _) in bracket.items()
         ]
     )
-    # one row per column of the frame
-    ranks = below.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), f"{c}.n", f"{c}.below") for c in known]))
+    # one row per column of the frame, whatever the data: safe to broadcast
+    ranks = below.selectExpr(
+        rows(f"{text(c)} as column, {quoted(c)}.n as n, {quoted(c)}.below as below" for c in bracket)
     )
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.when(F.col(c).between(lo, hi), F.col(c)).alias("v"))
-            for c, (lo, hi) in known.items()
-        ]
-    )
-    inside = (
-        wide.select(F.inline(cells))
-        .where("v is not null")
-        .groupBy("column", "v")
-        .agg(F.count(F.lit(1)).alias("rows"))
+    cells = rows(
+        f"{text(c)} as column, case when {quoted(c)} between {lo} and {hi} then {quoted(c)} end as v"
+        for c, (lo, hi) in bracket.items()
     )
-    running = ordered.running_sums(inside, ["column"], ["v"], {"upto": "rows"})
-    placed = running.join(F.broadcast(ranks), "column").withColumns(
-        {"last": F.col("below") + F.col("upto"), "start": F.col("below") + F.col("upto") - F.col("rows")}
+    inside = wide.selectExpr(cells).where("v is not null").groupBy("column", "v").agg(F.expr("count(1) as rows"))
+    placed = (
+        ordered.running_sums(inside, ["column"], ["v"], {"upto": "rows"}, buckets)
+        .join(F.broadcast(ranks), "column")
+        .selectExpr("column", "v", "n", "below + upto as last", "below + upto - rows as start")
     )
 
     def at(k):
-        return F.max(F.when((F.col("start") < k) & (k <= F.col("last")), F.col("v")))
+        return f"max(case when start < {k} and {k} <= last then v end)"
 
-    low = F.floor((F.col("n") + 1) / 2)
-    high = F.floor(F.col("n") / 2) + 1
-    middle = placed.groupBy("column").agg(((at(low) + at(high)) / 2).alias("median"))
+    middle = placed.groupBy("column").agg(
+        F.expr(f"({at('(n + 1) div 2')} + {at('n div 2 + 1')}) / 2 as median")
+    )
     return middle.agg(
-        *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in cols]
+        *[F.expr(f"max(case when column = {text(c)} then median end) as {quoted(c)}") for c in cols]
     )
 
 
 def impute(df, medians):
     """Fill nulls of the fitted columns with their medians."""
-    row = df.withColumn("_fit", _row(medians))
-    return row.withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_fit.{c}")) for c in medians.columns}
-    ).drop("_fit")
+    fitted = set(medians.columns)
+    filled = [
+        f"coalesce({quoted(c)}, _fit.{quoted(c)}) as {quoted(c)}" if c in fitted else quoted(c)
+        for c in df.columns
+    ]
+    return df.withColumn("_fit", _row(medians)).selectExpr(*filled)
 
 
 def fit_stats(df, cols):
     """Mean and sample standard deviation of each column: one row, structs ``mean`` and ``std``."""
-    aggs = [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
-    aggs += [F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)]
-    return df.agg(*aggs).select(
-        F.struct(*[F.col(f"m{i}").alias(c) for i, c in enumerate(cols)]).alias("mean"),
-        F.struct(*[F.col(f"s{i}").alias(c) for i, c in enumerate(cols)]).alias("std"),
-    )
+
+    def struct(aggregate, out):
+        body = ", ".join(f"{aggregate}({quoted(c)}) as {quoted(c)}" for c in cols)
+        return F.expr(f"struct({body}) as {out}")
+
+    return df.agg(struct("avg", "mean"), struct("stddev_samp", "std"))
 
 
 def standardize(df, stats, cols=None):
     """``(x - mean) / (std + 1e-8)`` for the fitted columns; the others are left as they are."""
-    cols = cols or stats.schema["mean"].dataType.names
-    row = df.withColumn("_fit", _row(stats))
-    return row.withColumns(
-        {
-            c: (F.col(c) - F.col(f"_fit.mean.{c}")) / (F.col(f"_fit.std.{c}") + F.lit(EPSILON))
-            for c in cols
-        }
-    ).drop("_fit")
+    fitted = set(cols or stats.schema["mean"].dataType.names)
+    scaled = [
+        f"({q} - _fit.mean.{q}) / (_fit.std.{q} + double('{EPSILON}')) as {q}" if c in fitted else q
+        for c, q in ((c, quoted(c)) for c in df.columns)
+    ]
+    return df.withColumn("_fit", _row(stats)).selectExpr(*scaled)
 
 
 def assemble(df, order, label=None, out="features"):
     """Ordered features as one ``array<float>``, plus a float label."""
-    vector = F.array(*[F.col(c).cast("float") for c in order]).alias(out)
-    kept = [c for c in df.columns if c not in order and c != label]
-    y = [F.col(label).cast("float").alias(label)] if label else []
-    return df.select(*kept, vector, *y)
+    kept = [quoted(c) for c in df.columns if c not in order and c != label]
+    vector = f"array({', '.join(f'cast({quoted(c)} as float)' for c in order)}) as {quoted(out)}"
+    y = [f"cast({quoted(label)} as float) as {quoted(label)}"] if label else []
+    return df.selectExpr(*kept, vector, *y)

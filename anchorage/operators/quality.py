@@ -1,32 +1,26 @@
 """Checks and column profiles, each a single pass over the data."""
 
-from functools import reduce
+from itertools import zip_longest
 
 from pyspark.sql import functions as F
 
+from anchorage.functions.names import quoted, rows, text
 
-def _per_column(df, cols, make, fields):
-    """One global aggregate, turned into one row per column."""
-    aggs = [make(c).alias(f"c{i}") for i, c in enumerate(cols)]
-    one = df.agg(F.count(F.lit(1)).alias("n"), *aggs)
-    rows = F.array(
-        *[fields(i, c, F.col(f"c{i}"), F.col("n")) for i, c in enumerate(cols)]
-    )
-    return one.select(F.inline(rows))
+
+def _per_column(df, aggs, cells):
+    """One global aggregate over all columns, turned into one row per cell."""
+    return df.agg(*map(F.expr, aggs)).selectExpr(rows(cells))
 
 
-def _nulls(c):
-    return F.count_if(F.col(c).isNull())
+def _nulls(cols):
+    return [f"count_if({quoted(c)} is null) as c{i}" for i, c in enumerate(cols)]
 
 
 def missing_counts(df, cols=None):
     """(column, missing)."""
-    return _per_column(
-        df,
-        cols or df.columns,
-        _nulls,
-        lambda i, c, v, n: F.struct(F.lit(c).alias("column"), v.alias("missing")),
-    )
+    cols = cols or df.columns
+    cells = [f"{text(c)} as column, c{i} as missing" for i, c in enumerate(cols)]
+    return _per_column(df, _nulls(cols), cells)
 
 
 def counted(missing):
@@ -36,42 +30,26 @@ def counted(missing):
 
 def schema_report(df, onehot=()):
     """(position, column, type, onehot, rows, nulls)."""
-    types = dict(df.dtypes)
-    return _per_column(
-        df,
-        df.columns,
-        _nulls,
-        lambda i, c, v, n: F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column"),
-            F.lit(types[c]).alias("type"),
-            F.lit(c in onehot).alias("onehot"),
-            n.alias("rows"),
-            v.alias("nulls"),
-        ),
-    )
+    cells = [
+        f"{i} as position, {text(c)} as column, {text(t)} as type, {c in onehot} as onehot, "
+        f"n as rows, c{i} as nulls"
+        for i, (c, t) in enumerate(df.dtypes)
+    ]
+    return _per_column(df, ["count(1) as n", *_nulls(df.columns)], cells)
 
 
 def null_consistency(df, feats):
     """Do min, max and mean of a feature miss together, in number and row by row?"""
-
-    def make(f):
-        gone = [F.col(f"{f}_{s}").isNull() for s in ("min", "max", "mean")]
-        differ = (gone[0] != gone[1]) | (gone[1] != gone[2])
-        return F.struct(*[F.count_if(g) for g in gone], F.count_if(differ))
-
-    def fields(i, f, v, n):
-        a, b, c, d = (v[f"col{k}"] for k in range(1, 5))
-        return F.struct(
-            F.lit(f).alias("feature"),
-            a.alias("min_nulls"),
-            b.alias("max_nulls"),
-            c.alias("mean_nulls"),
-            d.alias("rows_differing"),
-            ((a == b) & (b == c) & (d == 0)).alias("ok"),
+    aggs, cells = [], []
+    for i, f in enumerate(feats):
+        low, high, mean = (f"({quoted(f'{f}_{s}')} is null)" for s in ("min", "max", "mean"))
+        aggs += [f"count_if({g}) as {n}{i}" for n, g in (("a", low), ("b", high), ("c", mean))]
+        aggs.append(f"count_if({low} <> {high} or {high} <> {mean}) as d{i}")
+        cells.append(
+            f"{text(f)} as feature, a{i} as min_nulls, b{i} as max_nulls, c{i} as mean_nulls, "
+            f"d{i} as rows_differing, a{i} = b{i} and b{i} = c{i} and d{i} = 0 as ok"
         )
-
-    return _per_column(df, feats, make, fields)
+    return _per_column(df, aggs, cells)
 
 
 def domain(df, col, allowed):
@@ -89,42 +67,25 @@ def mandatory(df, cols):
 
 def contract(df, expected):
     """Are the features the expected ones, in order, and free of null and NaN?"""
-    kinds = dict(df.dtypes)
-    actual = df.columns
-    width = max(len(actual), len(expected))
-    pairs = [
-        (expected[i] if i < len(expected) else None, actual[i] if i < len(actual) else None)
-        for i in range(width)
-    ]
-
-    def bad(c):
-        gone = F.col(c).isNull()
-        return gone | F.isnan(c) if kinds[c] in ("double", "float") else gone
-
-    one = df.agg(
-        F.lit(0).cast("long").alias("none"),
-        *[F.count_if(bad(c)).alias(f"b{i}") for i, c in enumerate(actual)],
-    )
-    rows = []
-    for i, (want, have) in enumerate(pairs):
-        count = F.col(f"b{i}") if have is not None else F.col("none")
-        rows.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(want).cast("string").alias("expected"),
-                F.lit(have).cast("string").alias("actual"),
-                count.alias("bad_rows"),
-                (F.lit(want is not None and want == have) & (count == 0)).alias("ok"),
-            )
+    aggs = ["count_if(false) as none"]
+    for i, (c, kind) in enumerate(df.dtypes):
+        nan = f" or isnan({quoted(c)})" if kind in ("double", "float") else ""
+        aggs.append(f"count_if({quoted(c)} is null{nan}) as b{i}")
+    cells = []
+    for i, (want, have) in enumerate(zip_longest(expected, df.columns)):
+        bad = "none" if have is None else f"b{i}"
+        cells.append(
+            f"{i} as position, {text(want)} as expected, {text(have)} as actual, {bad} as bad_rows, "
+            f"{want == have} and {bad} = 0 as ok"
         )
-    return one.select(F.inline(F.array(*rows)))
+    return _per_column(df, aggs, cells)
 
 
 def require(found, message):
     """Run a check frame and fail if it has any row (shows at most twenty)."""
-    rows = found.limit(20).collect()
-    if rows:
-        raise ValueError(f"{message}: " + "; ".join(str(r.asDict()) for r in rows))
+    some = found.limit(20).collect()
+    if some:
+        raise ValueError(f"{message}: " + "; ".join(str(r.asDict()) for r in some))
 
 
 def require_consistent(df, feats):
@@ -165,7 +126,3 @@ def require_inputs(spark, paths):
     gone = absent_inputs(spark, paths)
     if gone:
         raise FileNotFoundError(f"Unable to find files: {', '.join(gone)}")
-
-
-def any_null(cols):
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])

@@ -137,10 +137,15 @@ def build(t):
 
 def check(ds):
     """Fail on nulls that differ within a feature, on missing mandatory values, on odd categories."""
-    quality.require_consistent(ds, C.CORE)
-    quality.require(quality.mandatory(ds, C.MANDATORY), "not allowed to be missing")
-    for col in C.ONE_HOT:
-        quality.require(quality.domain(ds, col, list(C.GENDER_CODES)), f"unexpected {col}")
+    uneven = quality.null_consistency(ds, C.CORE).where("not ok")
+    absent = quality.mandatory(ds, C.MANDATORY)
+    odd = quality.domain(ds.where(F.col("gender").isNotNull()), "gender", list(C.GENDER_CODES))
+    problems = (
+        uneven.selectExpr("'min, max and mean must be missing together' as problem", "feature as what")
+        .unionByName(absent.selectExpr("'not allowed to be missing' as problem", "column as what"))
+        .unionByName(odd.selectExpr("'unexpected gender' as problem", "value as what"))
+    )
+    quality.require(problems, "the dataset cannot be prepared")
 
 
 def prepared(ds, key="subject_id", checked=True):

@@ -12,6 +12,10 @@ def builder(app="anchorage"):
     return (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
+        # sides are broadcast by their known size only; a cohort of this size is worth it
+        .config("spark.sql.autoBroadcastJoinThreshold", "64MB")
+        # call sites of every column call are only useful when debugging, and cost round trips
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -414,10 +414,12 @@ def weighted_baseline(s):
 
 @query("run_manifest")
 def run_manifest(s):
+    names = ["events", "customer"]
     return manifest.build(
         s.spark,
-        {"events": s.raw("events"), "customer": s.raw("customer")},
+        {n: s.raw(n) for n in names},
         {"dataset.loss_positive_weight": C.POSITIVE_WEIGHT, "lookback.hours": HOURS},
+        {n: f"{s.dir}/{n}.parquet" for n in names},
     )
 
 

@@ -26,7 +26,7 @@ LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def rounded(*cols, digits=6):
-    return [F.round(F.col(c), digits).alias(c) for c in cols]
+    return [F.expr(f"round(`{c}`, {digits}) as `{c}`") for c in cols]
 
 
 # --- scans, sources, sinks ---

@@ -127,9 +127,8 @@ FLAT_SQL = {
         "subject_id",
         by_code(C.LAB_CODES),
     ),
-    # unlike the engine, the codes are not filtered first: stays with unknown codes only must not differ later
     "icu": flat_sql(
-        "(select * from chartevents where valuenum is not null and itemid <> 999999)",
+        "(select * from chartevents where valuenum is not null and itemid in (220045, 220181, 220210, 223761, 220277))",
         "stay_id",
         by_code(C.CHART_CODES),
         "_icu",
