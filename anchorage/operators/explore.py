@@ -11,7 +11,7 @@ def label_balance(df, label):
     y = F.col(label)
     return df.agg(
         F.sum(y.cast("long")).alias("positives"), F.count(label).alias("total")
-    ).withColumn("pos_weight", (F.col("total") - F.col("positives")) / F.col("positives"))
+    ).withColumn("pos_weight", F.try_divide(F.col("total") - F.col("positives"), F.col("positives")))
 
 
 def rate_by(df, flag, label):
@@ -19,10 +19,10 @@ def rate_by(df, flag, label):
     per = df.groupBy(F.col(flag).alias("flag")).agg(
         F.count(label).alias("rows"), (F.avg(label) * 100).alias("rate_pct")
     )
-    # over the groups, not the rows; the grouped shuffle is reused
+    # computed over the groups; asking for all of their columns lets the grouped shuffle be reused
     rate = "max(case when flag = {} then rate_pct end)"
-    gap = per.agg(F.expr(f"abs({rate.format(0)} - {rate.format(1)})"))
-    return per.withColumn("difference_pct", gap.scalar())
+    gap = per.agg(F.expr(f"struct(abs({rate.format(0)} - {rate.format(1)}) as pct, sum(rows) as rows)"))
+    return per.withColumn("difference_pct", gap.scalar()["pct"])
 
 
 def bootstrap_mean(df, by, label, replicates=1000, seed=42, level=0.95):

@@ -3,6 +3,9 @@
 Everything derives from one curve: rows are first collapsed to one per distinct
 score, then running counts are taken in descending score order without a global
 window (see ``ordered``). ``by`` evaluates many models or epochs in the same job.
+
+A group with only one class has no area (null); without positives its average
+precision is 0 and its sensitivity null, without negatives its sensitivity is 0.
 """
 
 from pyspark.sql import functions as F
@@ -24,23 +27,34 @@ def curve(df, score, label, by=(), buckets=None):
     or label do not count.
     """
     by = _list(by)
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        *by, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("_y")
+    )
     cells = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*by, F.col(score).cast("double").alias("score"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("long")).alias("pos"))
+        known.groupBy(*by, "score")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum("_y").alias("pos"))
         .withColumn("neg", F.col("rows") - F.col("pos"))
     )
+    # few models or epochs, each with very many scores
     return ordered.running_sums(
-        cells, by, ["score"], {"tp": "pos", "fp": "neg"}, buckets, descending=True, totals=("tp", "fp")
+        cells,
+        by,
+        ["score"],
+        {"tp": "pos", "fp": "neg"},
+        buckets,
+        descending=True,
+        totals=("tp", "fp"),
+        split_all=True,
+        cut_from=known,
     )
 
 
 def _tpr():
-    return F.col("tp") / F.col("tp_total")
+    return F.try_divide("tp", "tp_total")
 
 
 def _fpr():
-    return F.col("fp") / F.col("fp_total")
+    return F.try_divide("fp", "fp_total")
 
 
 def roc(df, score, label, by=(), buckets=None, origin=True):
@@ -64,16 +78,17 @@ def roc(df, score, label, by=(), buckets=None, origin=True):
 def _auroc():
     # each tied group of negatives beats half of the positives tied with it
     area = F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / F.lit(2.0)))
-    return area / (F.max("tp_total").cast("double") * F.max("fp_total"))
+    return F.try_divide(area, F.max("tp_total").cast("double") * F.max("fp_total"))
 
 
 def _average_precision():
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    return F.sum(F.col("pos") / F.col("tp_total") * precision)
+    return F.coalesce(F.sum(F.try_divide("pos", "tp_total") * precision), F.lit(0.0))
 
 
 def _sensitivity(spec):
-    return F.coalesce(F.max(F.when(_fpr() <= F.lit(round(1 - spec, 12)), _tpr())), F.lit(0.0))
+    found = F.max(F.when(_fpr() <= F.lit(round(1 - spec, 12)), _tpr()))
+    return F.when(F.max("tp_total") > 0, F.coalesce(found, F.lit(0.0)))
 
 
 def from_curve(points, by=(), spec=0.95):
@@ -136,7 +151,8 @@ def epoch_loss(log, epoch="epoch", loss="loss", rows=None):
     """Mean of the batch losses per epoch; with ``rows`` also the mean weighted by batch size."""
     aggs = [F.avg(loss).alias("mean_loss")]
     if rows:
-        weighted = F.sum(F.col(loss) * F.col(rows)) / F.sum(F.when(F.col(loss).isNotNull(), F.col(rows)))
+        known = F.sum(F.when(F.col(loss).isNotNull(), F.col(rows)))
+        weighted = F.try_divide(F.sum(F.col(loss) * F.col(rows)), known)
         aggs.append(weighted.alias("row_mean_loss"))
     return log.groupBy(epoch).agg(*aggs)
 

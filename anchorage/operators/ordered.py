@@ -1,10 +1,10 @@
-"""Running totals and numbering that never put one key's rows into one task.
+"""Running totals and numbering that never put a big group into one task.
 
 A plain ``sum() over (partition by k order by v)`` sorts all rows of ``k`` in a
-single task. Here the ordering column is first cut at its quantiles. Rows are
-windowed inside (key, bucket), and each bucket starts from the total of the
-buckets before it, computed from one small row per (key, bucket). A bucket holds
-about 1/``buckets`` of all rows whatever the keys look like.
+single task. Here the ordering column of big groups is first cut at its
+quantiles. Rows are windowed inside (key, bucket), and each bucket starts from
+the total of the buckets before it, taken from one small row per (key, bucket).
+A bucket holds about 1/``buckets`` of the rows whatever the keys look like.
 
 The cuts are explicit numbers on the driver (at most ``buckets`` of them), so a
 recomputed task sees exactly the same buckets.
@@ -20,6 +20,10 @@ from anchorage.functions import times
 _NUMBER, _CODE, _BUCKET = "_ord_number", "_ord_code", "_ord_bucket"
 
 
+# a group of up to this many rows is sorted by one task without trouble
+GROUP_ROWS = 100_000
+
+
 def default_buckets(spark):
     """Twice the shuffle width, kept within what a driver-side cut list should hold."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -63,12 +67,12 @@ def _assign(df, number, cuts, out):
     step = Bucketizer(
         splits=splits, inputCol=_NUMBER, outputCol=_CODE, handleInvalid="keep"
     ).transform(df.withColumn(_NUMBER, number))
-    return step.withColumn(
-        out, F.when(F.col(_NUMBER).isNull(), -1).otherwise(F.col(_CODE)).cast("long")
-    ).drop(_NUMBER, _CODE)
+    # never null, so joins on it need no filter that would run the cut again on every input row
+    code = F.when(F.col(_NUMBER).isNotNull(), F.col(_CODE).cast("long"))
+    return step.withColumn(out, F.coalesce(code, F.lit(-1).cast("long"))).drop(_NUMBER, _CODE)
 
 
-def with_buckets(df, order, buckets=None):
+def with_buckets(df, order, buckets=None, cut_from=None):
     """Add an order-preserving bucket number for the ordering columns.
 
     The first column is cut at its quantiles. A value so frequent that it fills
@@ -77,7 +81,7 @@ def with_buckets(df, order, buckets=None):
     """
     buckets = buckets or default_buckets(df.sparkSession)
     number = _number(df, order[0])
-    cuts, heavy = _cut(df, number, buckets)
+    cuts, heavy = _cut(df if cut_from is None else cut_from, number, buckets)
     coded = _assign(df, number, cuts, _BUCKET)
     if not heavy or len(order) < 2:
         return coded
@@ -98,43 +102,98 @@ def _sorting(order, descending):
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
-def running_sums(df, by, order, sums, buckets=None, descending=False, totals=()):
+def hot_keys(df, by, buckets, group_rows=GROUP_ROWS):
+    """Keys with more than ``group_rows`` rows and more than 1/``buckets`` of all rows.
+
+    At most ``buckets`` keys can hold such a share, which bounds this frame
+    whatever the data, so it may be broadcast.
+    """
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    share = counts.agg(F.sum("_rows") / F.lit(buckets)).scalar()
+    return counts.where((F.col("_rows") > group_rows) & (F.col("_rows") > share)).select(*by)
+
+
+def running_sums(
+    df,
+    by,
+    order,
+    sums,
+    buckets=None,
+    descending=False,
+    totals=(),
+    split_all=False,
+    group_rows=GROUP_ROWS,
+    cut_from=None,
+):
     """Add running sums of ``sums`` = {output: input} in ``order`` within ``by``.
 
-    ``totals`` = names of outputs whose grand total per ``by`` is also wanted, as
-    ``<output>_total``. Rows must be unique in (by, order); ``by`` must not be null.
+    ``totals`` names outputs whose grand total per ``by`` is wanted too, as
+    ``<output>_total``. Rows must be unique in (by, order).
+
+    Big groups are found by a count per key and split. ``split_all`` skips the
+    count and splits every group, for when there are few of them (or, with an
+    empty ``by``, just one); ``by`` must not be null then. ``cut_from`` is a frame
+    with the ordering columns that is cheaper to take the quantiles from.
     """
     by, order = list(by), list(order)
+    buckets = buckets or default_buckets(df.sparkSession)
     if buckets == 1:
-        return _plain_sums(df, by, order, sums, descending, totals)
-    coded = with_buckets(df, order, buckets)
+        return _windowed(df, by, order, sums, descending, totals)
+    if split_all or not by:
+        coded = with_buckets(df, order, buckets, cut_from)
+        offsets = _offsets(coded, by, sums, descending, totals)
+        return _from_offsets(coded.join(offsets, [*by, _BUCKET]), by, order, sums, descending, totals)
+
+    hot = hot_keys(df, by, buckets, group_rows)
+    found = hot.collect()
+    if not found:
+        return _windowed(df, by, order, sums, descending, totals)
+    hot = df.sparkSession.createDataFrame(found, hot.schema).withColumn("_hot", F.lit(True))
+    marked = df.join(F.broadcast(hot), by, "left")
+    big = with_buckets(marked.where("_hot"), order, buckets)
+    # at most one row per hot key and bucket
+    offsets = F.broadcast(_offsets(big, by, sums, descending, totals))
+    rest = marked.where("_hot is null").withColumn(_BUCKET, F.lit(-2).cast("long"))
+    coded = big.unionByName(rest).drop("_hot")
+    joined = coded.join(offsets, [*by, _BUCKET], "left")
+    return _from_offsets(joined, by, order, sums, descending, totals).select(
+        *df.columns, *[f"{k}_total" for k in totals], *sums
+    )
+
+
+def _offsets(coded, by, sums, descending, totals):
+    """Per (by, bucket) the sums of the buckets before it, and the totals of the group."""
     per_bucket = coded.groupBy(*by, _BUCKET).agg(
         *[F.sum(v).alias(f"_sum_{k}") for k, v in sums.items()]
     )
-    # one row per (by, bucket): bounded by the number of buckets for every key
-    spread = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    before = spread.orderBy(F.col(_BUCKET).desc() if descending else F.col(_BUCKET)).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = per_bucket.select(
+    # as many rows per group as there are buckets, whatever the group's size
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    place = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
+    before = group.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    return per_bucket.select(
         *by,
         _BUCKET,
         *[F.coalesce(F.sum(f"_sum_{k}").over(before), F.lit(0)).alias(f"_off_{k}") for k in sums],
-        *[F.sum(f"_sum_{k}").over(spread).alias(f"{k}_total") for k in totals],
+        *[F.sum(f"_sum_{k}").over(group).alias(f"_all_{k}") for k in totals],
     )
-    inside = (
-        Window.partitionBy(*by, _BUCKET)
-        .orderBy(*_sorting(order, descending))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _from_offsets(joined, by, order, sums, descending, totals):
+    group = Window.partitionBy(*by, _BUCKET)
+    upto = group.orderBy(*_sorting(order, descending)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    joined = coded.join(offsets, [*by, _BUCKET])
-    for k, v in sums.items():
-        joined = joined.withColumn(k, F.col(f"_off_{k}") + F.sum(v).over(inside))
-    return joined.drop(_BUCKET, *[f"_off_{k}" for k in sums])
+    # a group that was not split has no offsets: it starts at zero and is its own total
+    return joined.withColumns(
+        {
+            **{k: F.coalesce(F.col(f"_off_{k}"), F.lit(0)) + F.sum(v).over(upto) for k, v in sums.items()},
+            **{f"{k}_total": F.coalesce(F.col(f"_all_{k}"), F.sum(sums[k]).over(group)) for k in totals},
+        }
+    ).drop(_BUCKET, *[f"_off_{k}" for k in sums], *[f"_all_{k}" for k in totals])
 
 
-def _plain_sums(df, by, order, sums, descending, totals):
-    """The single-window form, for callers that know their groups to be small."""
+def _windowed(df, by, order, sums, descending, totals):
+    """The plain window, where no group is big."""
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     upto = group.orderBy(*_sorting(order, descending)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -146,7 +205,7 @@ def _plain_sums(df, by, order, sums, descending, totals):
     )
 
 
-def row_numbers(df, by, order, out="row_number", buckets=None):
+def row_numbers(df, by, order, out="row_number", buckets=None, group_rows=GROUP_ROWS):
     """Number rows 1, 2, ... within ``by`` in ascending ``order``; the last key must be unique."""
     one = df.withColumn("_one", F.lit(1).cast("long"))
-    return running_sums(one, by, order, {out: "_one"}, buckets).drop("_one")
+    return running_sums(one, by, order, {out: "_one"}, buckets, group_rows=group_rows).drop("_one")

@@ -89,7 +89,7 @@ def _middle(wide, cols, bracket, buckets):
     )
     inside = wide.selectExpr(cells).where("v is not null").groupBy("column", "v").agg(F.expr("count(1) as rows"))
     placed = (
-        ordered.running_sums(inside, ["column"], ["v"], {"upto": "rows"}, buckets)
+        ordered.running_sums(inside, ["column"], ["v"], {"upto": "rows"}, buckets, split_all=True)
         .join(F.broadcast(ranks), "column")
         .selectExpr("column", "v", "n", "below + upto as last", "below + upto - rows as start")
     )

@@ -17,7 +17,7 @@ def explore_report(df, label, flag, feats, k=10):
     cells = [
         "'balance' as section, 'positives' as name, cast(positives as double) as value",
         "'balance' as section, 'total' as name, cast(total as double) as value",
-        "'balance' as section, 'pos_weight' as name, (total - positives) / positives as value",
+        "'balance' as section, 'pos_weight' as name, try_divide(total - positives, positives) as value",
     ]
     for i, c in enumerate(feats):
         q = quoted(c)

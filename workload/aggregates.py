@@ -323,9 +323,10 @@ from (select {keep}{'n_chars' if source == 'scored' else 'score'}::double as sco
       from {source} group by all)"""
 
 
-AUROC_SQL = "sum(neg * (tp - pos / 2.0::double)) / (max(p)::double * max(n))"
-AP_SQL = "sum(pos / p::double * (tp / (tp + fp)::double))"
-SENS_SQL = "coalesce(max(tp / p::double) filter (where fp / n::double <= 0.05::double), 0)"
+AUROC_SQL = "sum(neg * (tp - pos / 2.0::double)) / nullif(max(p)::double * max(n), 0)"
+AP_SQL = "coalesce(sum(pos / nullif(p, 0)::double * (tp / (tp + fp)::double)), 0)"
+SENS_SQL = """case when max(p) > 0 then
+       coalesce(max(tp / nullif(p, 0)::double) filter (where fp / nullif(n, 0)::double <= 0.05::double), 0) end"""
 
 
 @query(
