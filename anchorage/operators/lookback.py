@@ -31,10 +31,19 @@ def _keys(on):
     return [on] if isinstance(on, str) else list(on)
 
 
-def join(anchor, events, on, t0, t, before, after=0):
-    """Pairs with ``t`` in ``[t0 - before, t0 + after]`` hours, both ends included."""
+def join(anchor, events, on, t0, t, before, after=0, prune=False):
+    """Pairs with ``t`` in ``[t0 - before, t0 + after]`` hours, both ends included.
+
+    ``prune`` first looks up the span of all windows and hands it to the event
+    scan, which skips files and row groups outside it. That reads the anchors
+    once more, so it is for anchors that are stored.
+    """
     on, width = _keys(on), _width(before, after)
     low, high = times.bounds(t0, before, after)
+    if prune:
+        events = events.where(
+            F.col(t).between(anchor.agg(F.min(low)).scalar(), anchor.agg(F.max(high)).scalar())
+        )
     left = anchor.withColumn(_SLOT, F.explode(F.sequence(slot(low, width), slot(high, width))))
     right = events.withColumn(_SLOT, slot(t, width))
     return left.join(right, [*on, _SLOT]).where(F.col(t).between(low, high)).drop(_SLOT)

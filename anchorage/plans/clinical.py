@@ -74,59 +74,59 @@ def cohort(t, manifest=None):
     )
 
 
-def lab_features(anchor, labevents, hours):
+def lab_features(anchor, labevents, hours, prune=False):
     """Labs belong to the subject: their admission is often unknown."""
     rows = feats.only_items(
         labevents.select("subject_id", "itemid", "charttime", "valuenum"), "itemid", "valuenum", C.LAB_CODES
     )
-    near = lookback.join(anchor, rows, "subject_id", "icu_intime", "charttime", hours)
+    near = lookback.join(anchor, rows, "subject_id", "icu_intime", "charttime", hours, prune=prune)
     return feats.flatten_long(near, "stay_id", "itemid", "valuenum", C.LAB_CODES)
 
 
-def chart_features(anchor, chartevents, hours):
+def chart_features(anchor, chartevents, hours, prune=False):
     """Bedside vitals, by stay."""
     rows = feats.only_items(
         chartevents.select("stay_id", "itemid", "charttime", "valuenum"), "itemid", "valuenum", C.CHART_CODES
     )
-    near = lookback.join(
-        anchor.select("stay_id", "icu_intime"), rows, "stay_id", "icu_intime", "charttime", hours
-    )
+    stays = anchor.select("stay_id", "icu_intime")
+    near = lookback.join(stays, rows, "stay_id", "icu_intime", "charttime", hours, prune=prune)
     return feats.flatten_long(near, "stay_id", "itemid", "valuenum", C.CHART_CODES, "_icu")
 
 
-def ed_features(anchor, vitalsign, hours):
+def ed_features(anchor, vitalsign, hours, prune=False):
     """Emergency-department vitals, by subject."""
     rows = vitalsign.select("subject_id", "charttime", *C.ED_COLUMNS.values())
-    near = lookback.join(anchor, rows, "subject_id", "icu_intime", "charttime", hours)
+    near = lookback.join(anchor, rows, "subject_id", "icu_intime", "charttime", hours, prune=prune)
     return feats.flatten_wide(near, "stay_id", C.ED_COLUMNS, "_ed")
 
 
-def features(t, stays):
-    """Every cohort stay with its 24 measurements, null where nothing was measured.
+def measured(t, stays, kept):
+    """The ``kept`` columns of every cohort stay and its 24 measurements, null where there are none.
 
-    ``stays`` is read four times, so it should be a materialised cohort.
+    ``stays`` is read once for itself and twice for each source, so it should be
+    a materialised cohort. The three sources arrive partitioned by stay, so the
+    left joins move only the cohort.
     """
     anchor = stays.select("stay_id", "subject_id", "icu_intime")
     hours = t.lookback.hours
     wide = (
-        stays.select("subject_id", "stay_id", "gender", "age", C.LABEL)
-        .join(lab_features(anchor, t.labevents, hours), "stay_id", "left")
-        .join(chart_features(anchor, t.chartevents, hours), "stay_id", "left")
-        .join(ed_features(anchor, t.vitalsign, hours), "stay_id", "left")
+        stays.select(*kept)
+        .join(lab_features(anchor, t.labevents, hours, prune=True), "stay_id", "left")
+        .join(chart_features(anchor, t.chartevents, hours, prune=True), "stay_id", "left")
+        .join(ed_features(anchor, t.vitalsign, hours, prune=True), "stay_id", "left")
     )
     labs = [f"{f}_{s}" for f in C.LABS for s in ("min", "max", "mean")]
-    return wide.select(
-        "subject_id", "stay_id", "gender", "age", C.LABEL, *labs, *feats.merged(C.VITALS, "_ed", "_icu")
-    )
+    return wide.select(*kept, *labs, *feats.merged(C.VITALS, "_ed", "_icu"))
 
 
-def dataset(t, stays):
-    """Cohort with its measurements.
+def features(t, stays):
+    """(subject_id, stay_id, gender, age, label, 24 measurements) of a materialised cohort."""
+    return measured(t, stays, ["subject_id", "stay_id", "gender", "age", C.LABEL])
 
-    A cohort has one stay per subject, so joining on the stay is the same as on
-    the subject, and the features are already partitioned that way.
-    """
-    return tables.left_join(stays, features(t, stays), "stay_id")
+
+def dataset(t, stays):
+    """All cohort columns with the measurements."""
+    return measured(t, stays, stays.columns)
 
 
 def build(t):

@@ -14,6 +14,8 @@ def builder(app="anchorage"):
         .config("spark.sql.session.timeZone", "UTC")
         # sides are broadcast by their known size only; a cohort of this size is worth it
         .config("spark.sql.autoBroadcastJoinThreshold", "64MB")
+        # hash the small side of a shuffled join, where it fits, instead of sorting the big one
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         # call sites of every column call are only useful when debugging, and cost round trips
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")

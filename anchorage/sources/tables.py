@@ -9,12 +9,16 @@ def table(spark, name, cols=None):
     return df.select(*cols) if cols else df
 
 
-def read_csv(spark, path, schema=None, quote='"'):
-    """CSV with a header. Without a schema the types are inferred, at the price of one more pass."""
+def read_csv(spark, path, schema=None, quote='"', sampling=1.0):
+    """CSV with a header.
+
+    Without a schema the types are inferred, at the price of one more pass over a
+    ``sampling`` share of the rows.
+    """
     reader = spark.read.option("header", True).option("quote", quote)
     if schema is not None:
         return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+    return reader.option("inferSchema", True).option("samplingRatio", sampling).csv(path)
 
 
 def sql(spark, text, **frames):
