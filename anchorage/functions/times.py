@@ -15,14 +15,22 @@ def parse_study_time(date, time, strict=True):
     """Text date ``yyyyMMdd`` and text time ``Hmmss[.fff]`` to a timestamp.
 
     The fraction is cut and lost leading zeros of the hour are put back. An
-    unparsable value is an error, or null with ``strict=False``.
+    unparsable value is an error, or null with ``strict=False``. The fields are
+    cut out by position, several times faster than a date pattern.
     """
-    digits = F.lpad(F.split_part(_col(time), F.lit("."), F.lit(1)), 6, "0")
-    text = F.concat(_col(date), F.lit(" "), digits)
-    pattern = F.lit("yyyyMMdd HHmmss")
+    day = _col(date)
+    clock = F.lpad(F.split_part(_col(time), F.lit("."), F.lit(1)), 6, "0")
+    fields = [
+        F.substring(day, 1, 4),
+        F.substring(day, 5, 2),
+        F.substring(day, 7, 9),
+        F.substring(clock, 1, 2),
+        F.substring(clock, 3, 2),
+        F.substring(clock, 5, 2),
+    ]
     if strict:
-        return F.to_timestamp_ntz(text, pattern)
-    return F.try_to_timestamp(text, pattern).cast("timestamp_ntz")
+        return F.make_timestamp_ntz(*[f.cast("int") for f in fields])
+    return F.try_make_timestamp_ntz(*[f.try_cast("int") for f in fields])
 
 
 def hours(n):

@@ -1,19 +1,54 @@
 """Interval joins between an anchor time per subject and a large event table.
 
-Every join is an equi-join on (key, time slot) with the exact window as residual.
-Slots are as long as the window, so an anchor row is needed in two slots at most,
-while the events of one very busy key spread over as many join groups as it has
-slots. What stays hot after that is split by AQE's skew join: all consumers
-aggregate on another key, so no required partitioning stands in its way. A side
-is broadcast only when the planner knows it to be below its threshold.
+In general this is an equi-join on (key, time slot) with the exact window as
+residual. Slots are as long as the window, so an anchor row is needed in two slots
+at most, while the events of one very busy key spread over as many join groups as
+it has slots. What stays hot after that is split by AQE's skew join: all consumers
+aggregate on another key, so no required partitioning stands in its way. The
+planner broadcasts a side only when it knows it to be below its threshold.
+
+Stored anchors can be looked over first (``span``). If they then turn out to be
+few, they are broadcast and the events are not moved at all, which makes slots
+needless; in any case the event scan is cut to the span of all windows.
 """
 
+from dataclasses import dataclass
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from anchorage.functions import times
 from anchorage.operators import ordered
 
 _SLOT = "_slot"
+# anchors (a few fixed-width columns each) that any executor can hold as a hash table
+BROADCAST_ROWS = 1_000_000
+# more anchors than this under one key are better told apart by slots
+BROADCAST_PER_KEY = 8
+
+
+@dataclass(frozen=True)
+class Span:
+    """Size and extent of a set of anchors."""
+
+    rows: int
+    per_key: int
+    low: datetime | None
+    high: datetime | None
+
+    @property
+    def small(self):
+        return self.rows <= BROADCAST_ROWS and self.per_key <= BROADCAST_PER_KEY
+
+
+def span(anchor, on, t0, before, after=0):
+    """Look over the anchors with one small job; they should be stored, not computed."""
+    low, high = times.bounds(t0, before, after)
+    per_key = anchor.groupBy(*_keys(on)).agg(
+        F.count(F.lit(1)).alias("n"), F.min(low).alias("low"), F.max(high).alias("high")
+    )
+    row = per_key.agg(F.sum("n"), F.max("n"), F.min("low"), F.max("high")).first()
+    return Span(row[0] or 0, row[1] or 0, row[2], row[3])
 
 
 def _width(before, after):
@@ -31,22 +66,28 @@ def _keys(on):
     return [on] if isinstance(on, str) else list(on)
 
 
-def join(anchor, events, on, t0, t, before, after=0, prune=False):
+def join(anchor, events, on, t0, t, before, after=0, found=None):
     """Pairs with ``t`` in ``[t0 - before, t0 + after]`` hours, both ends included.
 
-    ``prune`` first looks up the span of all windows and hands it to the event
-    scan, which skips files and row groups outside it. That reads the anchors
-    once more, so it is for anchors that are stored.
+    ``found`` is the ``span`` of the anchors, if it is known.
     """
     on, width = _keys(on), _width(before, after)
     low, high = times.bounds(t0, before, after)
-    if prune:
-        events = events.where(
-            F.col(t).between(anchor.agg(F.min(low)).scalar(), anchor.agg(F.max(high)).scalar())
-        )
+    if found is not None:
+        # reaches the scan, which skips files and row groups outside
+        events = events.where(F.col(t).between(_stamp(found.low), _stamp(found.high)))
+        if found.small:
+            return F.broadcast(anchor).join(events, on).where(F.col(t).between(low, high))
     left = anchor.withColumn(_SLOT, F.explode(F.sequence(slot(low, width), slot(high, width))))
     right = events.withColumn(_SLOT, slot(t, width))
-    return left.join(right, [*on, _SLOT]).where(F.col(t).between(low, high)).drop(_SLOT)
+    # null counts as outside; saying so keeps the planner from adding a null filter
+    # below the join, which would compute a derived time twice for every event
+    inside = F.coalesce(F.col(t).between(low, high), F.lit(False))
+    return left.join(right, [*on, _SLOT]).where(inside).drop(_SLOT)
+
+
+def _stamp(t):
+    return F.lit(None if t is None else t.isoformat(" ")).cast("timestamp_ntz")
 
 
 def exists(anchor, events, on, t0, t, before, after=0):

@@ -74,46 +74,47 @@ def cohort(t, manifest=None):
     )
 
 
-def lab_features(anchor, labevents, hours, prune=False):
+def lab_features(anchor, labevents, hours, found=None):
     """Labs belong to the subject: their admission is often unknown."""
     rows = feats.only_items(
         labevents.select("subject_id", "itemid", "charttime", "valuenum"), "itemid", "valuenum", C.LAB_CODES
     )
-    near = lookback.join(anchor, rows, "subject_id", "icu_intime", "charttime", hours, prune=prune)
+    near = lookback.join(anchor, rows, "subject_id", "icu_intime", "charttime", hours, found=found)
     return feats.flatten_long(near, "stay_id", "itemid", "valuenum", C.LAB_CODES)
 
 
-def chart_features(anchor, chartevents, hours, prune=False):
+def chart_features(anchor, chartevents, hours, found=None):
     """Bedside vitals, by stay."""
     rows = feats.only_items(
         chartevents.select("stay_id", "itemid", "charttime", "valuenum"), "itemid", "valuenum", C.CHART_CODES
     )
     stays = anchor.select("stay_id", "icu_intime")
-    near = lookback.join(stays, rows, "stay_id", "icu_intime", "charttime", hours, prune=prune)
+    near = lookback.join(stays, rows, "stay_id", "icu_intime", "charttime", hours, found=found)
     return feats.flatten_long(near, "stay_id", "itemid", "valuenum", C.CHART_CODES, "_icu")
 
 
-def ed_features(anchor, vitalsign, hours, prune=False):
+def ed_features(anchor, vitalsign, hours, found=None):
     """Emergency-department vitals, by subject."""
     rows = vitalsign.select("subject_id", "charttime", *C.ED_COLUMNS.values())
-    near = lookback.join(anchor, rows, "subject_id", "icu_intime", "charttime", hours, prune=prune)
+    near = lookback.join(anchor, rows, "subject_id", "icu_intime", "charttime", hours, found=found)
     return feats.flatten_wide(near, "stay_id", C.ED_COLUMNS, "_ed")
 
 
 def measured(t, stays, kept):
     """The ``kept`` columns of every cohort stay and its 24 measurements, null where there are none.
 
-    ``stays`` is read once for itself and twice for each source, so it should be
-    a materialised cohort. The three sources arrive partitioned by stay, so the
-    left joins move only the cohort.
+    ``stays`` is read five times, so it should be a materialised cohort. It is
+    looked over once to choose the joins. The three sources arrive partitioned by
+    stay, so the left joins move only the cohort.
     """
     anchor = stays.select("stay_id", "subject_id", "icu_intime")
     hours = t.lookback.hours
+    found = lookback.span(anchor, "subject_id", "icu_intime", hours)
     wide = (
         stays.select(*kept)
-        .join(lab_features(anchor, t.labevents, hours, prune=True), "stay_id", "left")
-        .join(chart_features(anchor, t.chartevents, hours, prune=True), "stay_id", "left")
-        .join(ed_features(anchor, t.vitalsign, hours, prune=True), "stay_id", "left")
+        .join(lab_features(anchor, t.labevents, hours, found), "stay_id", "left")
+        .join(chart_features(anchor, t.chartevents, hours, found), "stay_id", "left")
+        .join(ed_features(anchor, t.vitalsign, hours, found), "stay_id", "left")
     )
     labs = [f"{f}_{s}" for f in C.LABS for s in ("min", "max", "mean")]
     return wide.select(*kept, *labs, *feats.merged(C.VITALS, "_ed", "_icu"))

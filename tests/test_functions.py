@@ -16,7 +16,7 @@ def one(df, expr):
 
 @pytest.mark.parametrize(
     "time, want",
-    [("80556.875", dt(2180, 7, 23, 8, 5, 56)), ("191426", dt(2180, 7, 23, 19, 14, 26)), ("7.5", dt(2180, 7, 23, 0, 0, 7))],
+    [("80556.875", dt(2180, 7, 23, 8, 5, 56)), ("191426", dt(2180, 7, 23, 19, 14, 26)), ("7.5", dt(2180, 7, 23, 0, 0, 7)), ("", dt(2180, 7, 23))],
 )
 def test_parse_study_time(frame, time, want):
     df = frame("d string, t string", ("21800723", time))
@@ -26,10 +26,24 @@ def test_parse_study_time(frame, time, want):
 def test_parse_study_time_rejects_or_nulls_bad_hours(frame):
     df = frame("d string, t string", ("21800723", "250000"))
     assert one(df, times.parse_study_time("d", "t", strict=False)) is None
-    with pytest.raises(Exception, match="(?i)pars"):
+    with pytest.raises(Exception, match="(?i)hour"):
         one(df, times.parse_study_time("d", "t"))
 
 
+@pytest.mark.parametrize("date", ["2180", "218007230", "2180072x", "21801301", "21800230"])
+def test_parse_study_time_rejects_bad_dates(frame, date):
+    df = frame("d string, t string", (date, "1"))
+    assert one(df, times.parse_study_time("d", "t", strict=False)) is None
+    with pytest.raises(Exception, match="(?i)parse|cast|month|date"):
+        one(df, times.parse_study_time("d", "t"))
+
+
+def test_parse_study_time_of_nulls(frame):
+    df = frame("d string, t string", (None, "1"))
+    assert one(df, times.parse_study_time("d", "t")) is None
+    assert one(frame("d string, t string", ("20240101", None)), times.parse_study_time("d", "t")) is None
+
+
 def test_seconds_count_boundaries(frame):
     df = frame(
         "a timestamp_ntz, b timestamp_ntz", (dt(2180, 1, 2), dt(2180, 1, 1, 23, 59, 59, 500000))

@@ -101,6 +101,27 @@ def test_join_and_exists_against_brute_force(spark, seed, before, after):
     assert sorted(r["s"] for r in found.collect()) == sorted({x[0] for x in stays for y in events if near(x, y)})
 
 
+@pytest.mark.parametrize("per_key", [0, 100])
+def test_join_with_a_known_span(spark, monkeypatch, per_key):
+    monkeypatch.setattr(lookback, "BROADCAST_PER_KEY", per_key)
+    stays, events, a, b = random_tables(spark, 7)
+    found = lookback.span(a, "s", "t0", 24)
+    assert (found.rows, found.small) == (len(stays), per_key == 100)
+    assert found.low == min(x[2] for x in stays) - hours(24) and found.high == max(x[2] for x in stays)
+    got = lookback.join(a, b, "s", "t0", "t", 24, found=found)
+    want = lookback.join(a, b, "s", "t0", "t", 24)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_span_of_no_anchors(stay, frame):
+    none = stay.where("false")
+    found = lookback.span(none, "subject_id", "t0", 24)
+    assert (found.rows, found.low) == (0, None)
+    events = frame("subject_id long, t timestamp_ntz", (1, T0))
+    assert lookback.join(none, events, "subject_id", "t0", "t", 24, found=found).count() == 0
+
+
 def test_exists_is_exact_at_the_window_ends(spark, frame):
     for gap, hit in [(hours(24), True), (hours(24) + US, False), (-US, False), (hours(0), True)]:
         a = frame("s long, t0 timestamp_ntz", (1, T0))
