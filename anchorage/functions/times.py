@@ -34,6 +34,9 @@ def parse_study_time(date, time, strict=True):
 
 
 def hours(n):
+    """An interval of whole hours."""
+    if n != int(n):
+        raise ValueError(f"windows are given in whole hours, not {n}")
     return F.make_dt_interval(hours=F.lit(int(n)))
 
 

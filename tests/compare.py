@@ -39,31 +39,25 @@ def rows_of(cols, rows):
     return sorted(cols), sorted(plain, key=repr)
 
 
-def family(dtype):
-    """Coarse type, the same for both engines."""
-    t = str(dtype).lower()
-    for name, keys in {
-        "int": ("int", "long"),
-        "float": ("double", "float"),
-        "decimal": ("decimal",),
-        "time": ("timestamp",),
-        "bool": ("bool",),
-        "text": ("varchar", "string"),
-    }.items():
-        if any(k in t for k in keys) and "hugeint" not in t:
-            return name
-    return t
-
-
-def compare(spark, con, sf_dir, fn, sql):
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "float": "FLOAT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def compare(con, df, sql):
     """None if equal, else what differs."""
-    df = fn(spark, sf_dir)
-    got_types = {f.name: family(f.dataType.simpleString()) for f in df.schema.fields}
+    got_types = {c: TYPES.get(t, t) for c, t in df.dtypes}
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
         return None if got_cols else "no columns"
     res = con.execute(sql)
-    want_types = {d[0]: family(d[1]) for d in res.description}
+    want_types = {d[0]: str(d[1]) for d in res.description}
     want_cols, want = rows_of([d[0] for d in res.description], res.fetchall())
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"
@@ -99,7 +93,7 @@ def main(argv):
             continue
         began = time.time()
         try:
-            diff = compare(spark, con, sf_dir, fn, sqls.get(name))
+            diff = compare(con, fn(spark, sf_dir), sqls.get(name))
         except Exception as e:  # report and go on to the next query
             diff = f"{type(e).__name__}: {str(e)[:600]}"
         wrong += diff is not None

@@ -59,6 +59,8 @@ def test_bad_arguments(stay):
         lookback.nearest(stay, stay, "subject_id", "t0", "t0", 24, tie="stay_id", pick="middle")
     with pytest.raises(ValueError, match="window"):
         lookback.join(stay, stay, "subject_id", "t0", "t", 0)
+    with pytest.raises(ValueError, match="whole hours"):
+        lookback.join(stay, stay, "subject_id", "t0", "t", 0.5)
 
 
 def test_first_breaks_ties_by_id(frame):

@@ -80,10 +80,3 @@ def test_curves_have_no_global_window(spark):
     # only the one-row-per-bucket table goes through a single task
     assert len(single) == 1
     assert re.search(r"Window \[sum\(pos#\d+L\) windowspecdefinition\(_ord_bucket", text)
-
-
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_query_uses_a_cross_join(spark, name):
-    text = plan(entry.queries()[name](spark, DATA))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text
