@@ -154,10 +154,11 @@ def kde(df, x, by, low, high, points=50):
     ).withColumn("_h", F.col("_sd") * F.pow(F.col("_rows"), F.lit(-0.2)))
     step = (high - low) / (points - 1)
     grid = [low + step * i for i in range(points)]
-    paired = counted.join(spread.where("_h > 0"), "_g")
+    paired = counted.join(spread.where("_h > 0"), "_g").withColumn("_c", F.expr("-0.5D / (_h * _h)"))
 
     def height(g):
-        return f"sum(_n * exp(-0.5D * power((double('{g!r}') - _x) / _h, 2)))"
+        away = f"(double('{g!r}') - _x)"
+        return f"sum(_n * exp(_c * {away} * {away}))"
 
     sums = paired.groupBy("_g", "_rows", "_h").agg(
         *[F.expr(f"{height(g)} as k{i}") for i, g in enumerate(grid)]

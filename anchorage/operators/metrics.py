@@ -27,13 +27,12 @@ def curve(df, score, label, by=(), buckets=None):
     or label do not count.
     """
     by = _list(by)
+    y = F.col(label).cast("long")
     known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
-        *by, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("_y")
+        *by, F.col(score).cast("double").alias("score"), y.alias("pos"), (1 - y).alias("neg")
     )
-    cells = (
-        known.groupBy(*by, "score")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum("_y").alias("pos"))
-        .withColumn("neg", F.col("rows") - F.col("pos"))
+    cells = known.groupBy(*by, "score").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     # few models or epochs, each with very many scores
     return ordered.running_sums(
@@ -45,7 +44,7 @@ def curve(df, score, label, by=(), buckets=None):
         descending=True,
         totals=("tp", "fp"),
         split_all=True,
-        cut_from=known,
+        made_from=known,
     )
 
 

@@ -72,30 +72,39 @@ def _assign(df, number, cuts, out):
     return step.withColumn(out, F.coalesce(code, F.lit(-1).cast("long"))).drop(_NUMBER, _CODE)
 
 
-def with_buckets(df, order, buckets=None, cut_from=None):
-    """Add an order-preserving bucket number for the ordering columns.
+def bucketing(df, order, buckets=None):
+    """A function adding an order-preserving bucket number, with cuts taken from ``df``.
 
-    The first column is cut at its quantiles. A value so frequent that it fills
-    whole buckets gets buckets of its own, cut by the second (tie-breaking)
+    The first ordering column is cut at its quantiles. A value so frequent that it
+    fills whole buckets gets buckets of its own, cut by the second (tie-breaking)
     column, so even one repeated value is spread over many tasks.
     """
     buckets = buckets or default_buckets(df.sparkSession)
     number = _number(df, order[0])
-    cuts, heavy = _cut(df if cut_from is None else cut_from, number, buckets)
-    coded = _assign(df, number, cuts, _BUCKET)
+    cuts, heavy = _cut(df, number, buckets)
     if not heavy or len(order) < 2:
-        return coded
+        return lambda rows: _assign(rows, number, cuts, _BUCKET)
     # a heavy value is always a cut, so it comes first in its bucket
     is_heavy = number.isin(heavy)
     tie = _number(df, order[1])
     tie_cuts, _ = _cut(df.where(is_heavy), tie, buckets)
-    coded = _assign(coded.withColumn("_ord_heavy", is_heavy), tie, tie_cuts, "_ord_tie")
     span = len(tie_cuts) + 2
-    return coded.withColumn(
-        _BUCKET,
-        F.col(_BUCKET) * (span + 1)
-        + F.when(F.col("_ord_heavy"), F.col("_ord_tie") + 1).otherwise(F.lit(span)),
-    ).drop("_ord_heavy", "_ord_tie")
+    place = F.when(F.col("_ord_heavy"), F.col("_ord_tie") + 1).otherwise(F.lit(span))
+
+    def assign(rows):
+        coded = _assign(rows, number, cuts, _BUCKET).withColumn("_ord_heavy", is_heavy)
+        return (
+            _assign(coded, tie, tie_cuts, "_ord_tie")
+            .withColumn(_BUCKET, F.col(_BUCKET) * (span + 1) + place)
+            .drop("_ord_heavy", "_ord_tie")
+        )
+
+    return assign
+
+
+def with_buckets(df, order, buckets=None):
+    """``df`` with the bucket numbers of its own cuts."""
+    return bucketing(df, order, buckets)(df)
 
 
 def _sorting(order, descending):
@@ -123,7 +132,7 @@ def running_sums(
     totals=(),
     split_all=False,
     group_rows=GROUP_ROWS,
-    cut_from=None,
+    made_from=None,
 ):
     """Add running sums of ``sums`` = {output: input} in ``order`` within ``by``.
 
@@ -132,16 +141,19 @@ def running_sums(
 
     Big groups are found by a count per key and split. ``split_all`` skips the
     count and splits every group, for when there are few of them (or, with an
-    empty ``by``, just one); ``by`` must not be null then. ``cut_from`` is a frame
-    with the ordering columns that is cheaper to take the quantiles from.
+    empty ``by``, just one); ``by`` must not be null then. With it, ``made_from`` may
+    give the rows that ``df`` is an aggregate of, under the same column names: cuts
+    and bucket totals are then taken from them, which spares computing ``df`` twice.
     """
     by, order = list(by), list(order)
     buckets = buckets or default_buckets(df.sparkSession)
     if buckets == 1:
         return _windowed(df, by, order, sums, descending, totals)
     if split_all or not by:
-        coded = with_buckets(df, order, buckets, cut_from)
-        offsets = _offsets(coded, by, sums, descending, totals)
+        source = df if made_from is None else made_from
+        assign = bucketing(source, order, buckets)
+        coded = assign(df)
+        offsets = _offsets(assign(source), by, sums, descending, totals)
         return _from_offsets(coded.join(offsets, [*by, _BUCKET]), by, order, sums, descending, totals)
 
     hot = hot_keys(df, by, buckets, group_rows)
