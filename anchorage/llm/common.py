@@ -1,5 +1,7 @@
 """What the operators share: numpy hashing of words and windows, and sorted groups in a stream."""
 
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 
@@ -132,22 +134,25 @@ class Ids:
 
     def remember(self, pieces):
         known = self.known
-        new = {p for p in pieces if p not in known}
+        new = set(pieces).difference(known)
         if not new:
             return
         if len(known) >= self.most or self.used >= 16 * self.most:
             self.forget()
             known, new = self.known, set(pieces)
-        new = sorted(new)
-        for piece, ids in zip(new, self.learn(new)):
-            n, k = self.used + len(ids), len(known)
-            if n > len(self.flat):
-                self.flat = np.r_[self.flat, np.zeros(max(n, len(self.flat)), np.uint32)]
-            if k == len(self.place):
-                self.place = np.r_[self.place, np.zeros_like(self.place)]
-            self.flat[self.used : n] = ids
-            self.place[k] = self.used, len(ids)
-            known[piece], self.used = k, n
+        new = list(new)
+        ids = self.learn(new)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        n, k = self.used + int(size.sum()), len(known)
+        if n > len(self.flat):
+            self.flat = np.r_[self.flat, np.zeros(max(n, len(self.flat)), np.uint32)]
+        if k + len(new) > len(self.place):
+            self.place = np.r_[self.place, np.zeros((max(k + len(new), len(self.place)), 2), np.int64)]
+        self.flat[self.used : n] = list(chain.from_iterable(ids))
+        self.place[k : k + len(new), 0] = self.used + np.cumsum(size) - size
+        self.place[k : k + len(new), 1] = size
+        known.update(zip(new, range(k, k + len(new))))
+        self.used = n
 
     def of(self, pieces):
         """Ids of all pieces in a row."""

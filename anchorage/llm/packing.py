@@ -20,6 +20,7 @@ import pandas as pd
 import regex
 from pyspark.sql import functions as F
 
+from anchorage.llm.bpe import REMEMBERED
 from anchorage.llm.common import Ids
 from anchorage.llm.tokens import SPACE
 from anchorage.sources import sinks
@@ -28,7 +29,6 @@ from anchorage.sources import sinks
 WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 GAPS = regex.compile(f"[{SPACE}]+")
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
-STOPS = re.compile(r"(?<=[^\W_])([.,])(?=\s)")  # a stop alone after a word is a piece of its own
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 3, 6, 4
 
 
@@ -46,7 +46,10 @@ class WordIds:
         added = self.whole.get_added_tokens_decoder()
         self.special = {t.content: i for i, t in added.items()}
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")" if added else r"((?!))")
-        self.chunks = Ids(self.learn)
+        vocab = self.words.get_vocab(with_added_tokens=False)
+        self.ending = np.zeros(max(vocab.values()) + 1, bool)
+        self.ending[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.ids, self.chunks = {}, Ids(self.learn)
 
     def normal(self, text):
         if "Σ" in text:  # the library lower-cases letter by letter, Python looks at a sigma's place
@@ -55,16 +58,35 @@ class WordIds:
 
     def learn(self, chunks):
         """Ids of new runs between white space; no piece reaches beyond one."""
-        cut = [WORDS.findall(c) for c in chunks]
-        words = sorted({w for found in cut for w in found})
-        ids = dict(zip(words, (e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False))))
+        cut = []
+        for c in chunks:
+            if c.isalpha():
+                cut.append((c,))
+            elif c[-1:] in (".", ",") and c[:-1].isalpha():
+                cut.append((c[:-1], c[-1]))
+            else:
+                cut.append(WORDS.findall(c))
+        if len(self.ids) >= REMEMBERED:
+            self.ids = {}
+        new = list({w for found in cut for w in found if w not in self.ids})
+        for k in range(0, len(new), 4096):
+            self.ids.update(self.library(new[k : k + 4096]))
+        ids = self.ids
         return [[i for w in found for i in ids[w]] for found in cut]
 
+    def library(self, words):
+        """(word, ids) by the library, all in one text: a word's last id is one that ends words."""
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids)
+        ends = np.flatnonzero(self.ending[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            raise ValueError("ids of words cannot be told apart in this vocabulary")
+        ids, ends = ids.tolist(), [0, *ends.tolist()]
+        return [(w, ids[a:b]) for w, a, b in zip(words, ends, ends[1:])]
+
     def plain(self, text):
         text = self.normal(text)
         # Python's split also cuts at four control characters, which are no white space here
-        chunks = GAPS.split(text) if SEPARATORS.search(text) else STOPS.sub(r" \1", text).split()
-        return self.chunks.of(chunks)
+        return self.chunks.of(GAPS.split(text) if SEPARATORS.search(text) else text.split())
 
     def encode(self, text):
         parts = self.marks.split(text)
@@ -161,13 +183,13 @@ def mutate(packing, sizes, length, rng):
 
 
 def evolve(population, sizes, length, generations, rng):
-    """Some generations; ends early when no packing could have fewer sequences."""
+    """Some generations; a packing than which none can have fewer sequences ends them and stays alone."""
     least = -(-sum(sizes) // length)
     score = lambda p: fitness(p, sizes, length)
     population = sorted(population, key=score, reverse=True)
     for _ in range(generations):
         if len(population[0]) <= least:
-            break
+            return population[:1]
         a, b = rng.choice(len(population), 2, replace=False) if len(population) > 1 else (0, 0)
         child = crossover(population[a], population[b], sizes, length, rng)
         if rng.random() < 0.5:
@@ -178,6 +200,8 @@ def evolve(population, sizes, length, generations, rng):
 
 def _first_population(sizes, length, rng):
     out = [best_fit([], range(len(sizes)), sizes, length)]
+    if len(out[0]) <= -(-sum(sizes) // length):
+        return out
     for _ in range(POPULATION - 1):  # best fit in a blurred order
         blurred = np.array(sizes) * rng.uniform(0.8, 1.0, len(sizes))
         packing = []
