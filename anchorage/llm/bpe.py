@@ -62,7 +62,7 @@ class Bpe:
                 x, x_until = sx[1], sx[2]
             else:
                 y, y_until = sy[0], sy[2]
-        if len(self.joints) >= 4 * REMEMBERED:
+        if len(self.joints) >= REMEMBERED // 2:
             self.joints.clear()
         self.joints[a, b] = out
         return out
@@ -76,7 +76,7 @@ class Bpe:
         n = len(text)
         if text in ends:
             return ends
-        if len(ends) >= 2 * REMEMBERED:
+        if len(ends) >= REMEMBERED // 2:
             ends.clear()
         done = n - 1
         while done and text[:done] not in ends:

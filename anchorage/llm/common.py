@@ -92,6 +92,13 @@ def shingles(text, n):
     return np.unique(mix(out))
 
 
+def sliced(batches, rows=512):
+    """The batches in smaller frames, so that what is made of one is small too."""
+    for batch in batches:
+        for k in range(0, len(batch), rows):
+            yield batch.iloc[k : k + rows].reset_index(drop=True)
+
+
 def sorted_groups(batches, keys):
     """Frames of rows with equal keys, from pandas batches whose rows lie sorted by the keys.
 
@@ -124,7 +131,7 @@ class Ids:
     bounded; ``remember`` forgets all when it is full.
     """
 
-    def __init__(self, learn, most=1 << 20):
+    def __init__(self, learn, most=1 << 19):
         self.learn, self.most = learn, most
         self.forget()
 

@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from anchorage.llm.common import U64, mix
+from anchorage.llm.common import U64, mix, sliced
 
 FEATURES = 1 << 15
 GRAMS = 3
@@ -179,7 +179,7 @@ def predict(docs, model, id_col="doc_id", text_col="text"):
 
     def run(batches):
         langs, idf, weights, t = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             found = []
             for text in batch[text_col]:
                 if not langs or text is None or not has_letter(text):

@@ -66,7 +66,7 @@ class WordIds:
                 cut.append((c[:-1], c[-1]))
             else:
                 cut.append(WORDS.findall(c))
-        if len(self.ids) >= REMEMBERED:
+        if len(self.ids) >= REMEMBERED // 2:
             self.ids = {}
         new = list({w for found in cut for w in found if w not in self.ids})
         for k in range(0, len(new), 4096):

@@ -10,18 +10,18 @@ traces its own pieces back. For byte-pair models just one path is not infinite,
 is the library's encoding.
 """
 
+import re
 from functools import cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import functions as F
 
-from anchorage.llm.bpe import Bpe
-from anchorage.llm.common import Ids
+from anchorage.llm.bpe import REMEMBERED, Bpe
+from anchorage.llm.common import Ids, sliced
 from anchorage.sources import sinks
 
-CHUNK = 32768  # code points
+CHUNK = 1 << 16  # code points
 SPACE = "▁"
 START = ("", 0)
 
@@ -37,6 +37,7 @@ class Pieces:
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.id = {sp.id_to_piece(i): i for i in plain}
         self.score = {p: sp.get_score(i) for p, i in self.id.items()}
+        self.scores = np.array([self.score.get(sp.id_to_piece(i), 0.0) for i in range(n)])
         self.byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(n) if sp.is_byte(i)}
         order = {p: -s for p, s in self.score.items()}
         self.bpe = Bpe(lambda a, b: order.get(a + b), set(self.id))
@@ -44,8 +45,10 @@ class Pieces:
         # a unit is blanks and what follows them; no piece reaches from one into the next
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("a piece has a blank inside; units of this model are not independent")
-        self.units = regex.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.cache = Ids(lambda new: [self.ids(self.trace(u, START)) for u in new])
+        self.units = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        # marks that no piece has after a letter: a word is the same with and without one
+        self.marks = {c for c in ",.;:!?" if not any(re.search(rf"[^\W\d_]{re.escape(c)}", p) for p in self.id)}
+        self.cache = Ids(lambda new: [self.ids(self.unit(u)) for u in new], REMEMBERED // 2)
         self.text = [b""] * n
         for p, i in self.id.items():
             self.text[i] = p.replace(SPACE, " ").encode()
@@ -68,7 +71,7 @@ class Pieces:
         return out
 
     def weight(self, pieces):
-        return sum(self.score.get(p, 0.0) for p in pieces)
+        return float(sum(self.score.get(p, 0.0) for p in pieces))
 
     def follows(self, last, piece):
         if not last or (piece.startswith(SPACE) and not last.endswith(SPACE)):
@@ -92,8 +95,20 @@ class Pieces:
                     break
         return at
 
+    def unit(self, text):
+        """The pieces of a unit from its start."""
+        if text[-1] in self.marks and text[-2:-1].isalpha():
+            return [*self.unit(text[:-1]), text[-1]]
+        ends, out = self.bpe.prefixes(text), []
+        while text:
+            out.append(ends[text][0])
+            text = text[: len(text) - len(out[-1])]
+        return out[::-1]
+
     def trace(self, text, state):
         """The pieces of a text after a state, up to its end; None if no path gets there."""
+        if state == START:
+            return [p for u in self.units.findall(text) for p in self.unit(u)]
         last, over = state
         at, end, out = self.walk(text[over:], last), len(text) - over, []
         if end < 0 or at[end] is None:
@@ -119,7 +134,7 @@ class Pieces:
 
     def edges(self, text):
         """Ends of the first and begin of the last unit that lie inside a chunk, or None."""
-        found = [m.start() for m in regex.finditer(f"(?<!{SPACE}){SPACE}", text) if m.start()]
+        found = [m.start() for m in re.finditer(f"(?<!{SPACE}){SPACE}", text) if m.start()]
         return (found[0], found[-1]) if found else None
 
     def into(self, text, state, out):
@@ -152,7 +167,7 @@ class Pieces:
         first, last = edges
         heads = [(a, self.trace(text[:first], a)) for a in ins]
         tails = [(b, self.into(text[last:], START, b)) for b in outs]
-        middle = sum(self.weight(self.trace(u, START)) for u in self.units.findall(text[first:last]))
+        middle = float(self.scores[self.cache.of(self.units.findall(text[first:last]))].sum())
         for a, head in heads:
             for b, tail in tails:
                 if head is not None and tail is not None:
@@ -250,9 +265,9 @@ def _states(frame):
 def _trace(path):
     def run(batches):
         model = pieces(path)
-        for batch in batches:
+        for batch in sliced(batches, 64):
             ids = [
-                model.chunk_ids(part, (a["piece"], a["over"]), (b["piece"], b["over"])).tolist()
+                model.chunk_ids(part, (a["piece"], a["over"]), (b["piece"], b["over"])).astype(np.int32)
                 for part, a, b in zip(batch["_part"], batch["_in"], batch["_out"])
             ]
             yield pd.DataFrame({"_row": batch["_row"], "_id": batch["_id"], "_k": batch["_k"], "ids": ids})
@@ -271,8 +286,8 @@ def encode(docs, path, id_col="doc_id", text_col="text", chunk=CHUNK):
 
     def whole(batches):
         model = pieces(path)
-        for batch in batches:
-            yield pd.DataFrame({"_id": batch["_id"], "ids": [model.encode(t).tolist() for t in batch["_text"]]})
+        for batch in sliced(batches):
+            yield pd.DataFrame({"_id": batch["_id"], "ids": [model.encode(t).astype(np.int32) for t in batch["_text"]]})
 
     short = texts.where(F.length("_text") <= chunk).mapInPandas(whole, f"_id {kind}, ids array<int>")
     giant = texts.where(F.length("_text") > chunk).withColumn("_row", F.monotonically_increasing_id())
@@ -298,7 +313,7 @@ def decode(encoded, path, ids_col="ids", out_col="text"):
 
     def run(batches):
         model = pieces(path)
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.assign(**{out_col: [None if x is None else model.decode(x) for x in batch[ids_col]]})
 
     kept = [c for c in encoded.columns if c != out_col]

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from anchorage.llm.common import EXACT, U64, mix, prefix_sums, spans_hash
+from anchorage.llm.common import EXACT, U64, mix, prefix_sums, sliced, spans_hash
 from anchorage.sources import sinks
 
 GRAM = 14
@@ -323,7 +323,7 @@ def merged(starts, ends):
 
 
 def _cut(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for text, starts, ends in zip(batch["_text"], batch["_starts"], batch["_ends"]):
             data = as_bytes(text)

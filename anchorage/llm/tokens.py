@@ -53,7 +53,7 @@ class Prefixes:
         self.totals = {}
 
     def add(self, piece):
-        if len(self.totals) >= REMEMBERED:
+        if len(self.totals) >= REMEMBERED // 2:
             self.totals.clear()
         data = piece.encode("utf-8", "surrogatepass")
         out = self.totals[piece] = self.bpe.prefixes(data)[data][1]
