@@ -81,9 +81,12 @@ class Bpe:
         done = n - 1
         while done and text[:done] not in ends:
             done -= 1
+        token = ends[text[:done]] if done else None
+        token = token[0] if token else text[:0]
         for end in range(done + 1, n + 1):
-            found, head = None, text[:end]
-            for start in range(max(0, end - longest), end):
+            # just one token fits; mostly it is the one before with the symbol added, or a short one
+            found, begin = None, end - 1 - len(token)
+            for start in (begin, *range(end - 1, max(0, end - longest) - 1, -1)):
                 token = text[start:end]
                 if token in tokens or end - start == 1:
                     if not start:
@@ -95,5 +98,6 @@ class Bpe:
                         if fits or (fits is None and self.whole(token) and self.stays(before[0], token)):
                             found = (token, before[1] + 1)
                             break
-            ends[head] = found
+            ends[text[:end]] = found
+            token = found[0] if found else text[:0]
         return ends
