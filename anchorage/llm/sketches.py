@@ -13,6 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from anchorage.llm.common import U64, shingles
+from anchorage.sources import sinks
 
 K, WIDTH = 64, 5
 # documents with neighbouring ids are worked on together; a bucket has so many ids at most
@@ -123,6 +124,7 @@ def next_texts(docs, id_col="doc_id", text_col="text"):
     )
     # the first text of a bucket goes to the bucket above, that of the highest to the lowest
     goes = linked.join(ends, "_group").select("_id", F.coalesce("_above", "_next").alias("_to"))
+    goes = sinks.materialize(goes)  # its size decides how the texts are joined: they stay where they are if it is small
     sent = rows.select("_id", "_text").join(goes, "_id").select(
         F.col("_to").alias("_bucket"), F.lit(False).alias("_own"), "_id", "_text"
     )
