@@ -13,14 +13,17 @@ from anchorage.llm import jaccard, langid, packing, quality, suffixes
 from anchorage.sources import sinks
 
 
-def hidden(docs, names=("doc_id", "text", "lang")):
+USED = ("doc_id", "text", "lang")
+
+
+def hidden(docs):
     """The documents with all other columns renamed, so that none clashes with what a stage adds."""
-    return docs.select(*[F.col(c).alias(c if c in names else f"_extra{i}") for i, c in enumerate(docs.columns)])
+    return docs.select(*[F.col(c).alias(c if c in USED else f"_extra{i}") for i, c in enumerate(docs.columns)])
 
 
 def restored(found, docs, text="text"):
     """The columns of the documents again, with the given text; ``n_chars`` follows it."""
-    back = {c: F.col(c if c in found.columns else f"_extra{i}") for i, c in enumerate(docs.columns)}
+    back = {c: F.col(c if c in USED else f"_extra{i}") for i, c in enumerate(docs.columns)}
     back["text"] = F.col(text)
     if text != "text" and "n_chars" in back:
         back["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
@@ -58,11 +61,11 @@ def near_duplicates(spark, docs, sf_dir):
     Rows without id stay, and so does a text without a word.
     """
     groups = jaccard.join(docs).where("doc_id is not null and doc_id = group_id").select("doc_id").distinct()
-    rows = hidden(docs, ("doc_id", "text")).join(groups, "doc_id", "left_semi")
+    rows = hidden(docs).join(groups, "doc_id", "left_semi")
     sortable = [c for c, kind in rows.dtypes if c != "doc_id" and not kind.startswith(("map", "variant"))]
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*sortable))
     one = rows.withColumn("_first", first).where("_first = 1").drop("_first")
-    return restored(one.union(hidden(docs, ("doc_id", "text")).where("doc_id is null")), docs)
+    return restored(one.union(hidden(docs).where("doc_id is null")), docs)
 
 
 def repeated_passages(spark, docs, sf_dir):
@@ -71,7 +74,7 @@ def repeated_passages(spark, docs, sf_dir):
     Characters that a cut goes through are dropped; ``n_chars`` is counted anew. A text of
     which nothing is left goes; others stay, however short. A null text comes back empty.
     """
-    rows = hidden(docs, ("doc_id", "text"))
+    rows = hidden(docs)
     found = suffixes.dedup(rows, keep=[c for c in rows.columns if c not in ("doc_id", "text")])
     return restored(found.where("length(kept_text) > 0 or n_removed = 0"), docs, "kept_text")
 
