@@ -15,7 +15,7 @@ def check_ext(ext):
     plain = ext.lower().lstrip(".")
     if plain not in EXTENSIONS:
         raise ValueError(
-            f"Extension {ext} is not supported. Supported extensions are: {', '.join(EXTENSIONS)}"
+            f"Extension {ext} is not supported. Known ones: {', '.join(EXTENSIONS)}"
         )
     return plain
 

@@ -1,5 +1,7 @@
 """Reports: rates, correlations, distributions. Rows are reduced before anything is multiplied."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from anchorage.functions.names import quoted, rows, text
@@ -81,18 +83,41 @@ def numeric_columns(df):
 
 
 def corr(df, cols=None):
-    """Long Pearson matrix (a, b, r), pairwise complete, from one global aggregate."""
-    cols = cols or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    # a row counts for (a, a) whenever a is present
-    one = df.agg(*[_corr(a, b, f"r{k}") for k, (a, b) in enumerate(pairs)])
+    """Long Pearson matrix (a, b, r), pairwise complete.
 
-    def cell(a, b, k):
-        return f"{text(a)} as a, {text(b)} as b, r{k} as r"
+    Each partition sums products of its columns, taken about the columns' means, as a few
+    matrix products, and gives one row per pair of columns; so the cost of planning
+    does not grow with the pairs. Without variance or with a single row r is null.
+    """
+    cols = cols or numeric_columns(df)
+    wide = df.select(*[F.expr(f"cast({quoted(c)} as double)").alias(f"c{i}") for i, c in enumerate(cols)])
+    # one row; only a shift for precision, so any finite value would do
+    means = wide.agg(*[F.avg(c).alias(c) for c in wide.columns]).first()
+    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+
+    def run(batches):
+        total = np.zeros((4, len(cols), len(cols)))
+        for batch in batches:
+            known = np.array([c.is_valid().to_numpy(False) for c in batch.columns], dtype=float)
+            x = np.array([c.fill_null(0.0).to_numpy(False) for c in batch.columns])
+            x = np.where(known > 0, x - shift[:, None], 0.0)
+            total += [known @ known.T, x @ known.T, (x * x) @ known.T, x @ x.T]
+        i, j = np.indices(total.shape[1:]).reshape(2, -1)
+        n, s, q, p = total
+        values = (n, s, s.T, q, q.T, p)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype("int32")), pa.array(j.astype("int32")), *[pa.array(v.ravel()) for v in values]],
+            ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"],
+        )
 
-    cells = [cell(a, b, k) for k, (a, b) in enumerate(pairs)]
-    cells += [cell(b, a, k) for k, (a, b) in enumerate(pairs) if a != b]
-    return one.selectExpr(rows(cells))
+    sums = wide.mapInArrow(run, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
+    sums = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    r = F.expr(
+        "case when n > 1 then try_divide(sxy - sx * sy / n, "
+        "sqrt(greatest(sxx - sx * sx / n, 0) * greatest(syy - sy * sy / n, 0))) end"
+    )
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), r.alias("r"))
 
 
 def _corr(a, b, out):

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from anchorage.functions import times
 from anchorage.operators import ordered
@@ -29,12 +30,16 @@ BROADCAST_PER_KEY = 8
 
 @dataclass(frozen=True)
 class Span:
-    """Size and extent of a set of anchors."""
+    """Size and extent of a set of anchors.
+
+    The ends of a zoned column are microseconds since 1970, which no time zone of the
+    driver or the session can shift; those of a column without zone are its own times.
+    """
 
     rows: int
     per_key: int
-    low: datetime | None
-    high: datetime | None
+    low: datetime | int | None
+    high: datetime | int | None
 
     @property
     def small(self):
@@ -44,6 +49,8 @@ class Span:
 def span(anchor, on, t0, before, after=0):
     """Look over the anchors with one small job; they should be stored, not computed."""
     low, high = times.bounds(t0, before, after)
+    if isinstance(anchor.select(low).schema[0].dataType, T.TimestampType):
+        low, high = F.unix_micros(low), F.unix_micros(high)
     per_key = anchor.groupBy(*_keys(on)).agg(
         F.count(F.lit(1)).alias("n"), F.min(low).alias("low"), F.max(high).alias("high")
     )
@@ -87,6 +94,8 @@ def join(anchor, events, on, t0, t, before, after=0, found=None):
 
 
 def _stamp(t):
+    if isinstance(t, int):
+        return F.timestamp_micros(F.lit(t))
     return F.lit(None if t is None else t.isoformat(" ")).cast("timestamp_ntz")
 
 

@@ -16,7 +16,7 @@ def fingerprint(df, cols=None, digest="sha2"):
     are added up, so copies count and no row order or sort is needed. Sums are
     decimal text, wide enough for 10^19 rows.
     """
-    text = hashing.row_text(cols or df.columns)
+    text = hashing.row_text(cols or df.columns, dict(df.dtypes))
     hashed = F.sha2(text, 256) if digest == "sha2" else F.md5(text)
     a, b = hashing.slices(hashed)
     total = [
@@ -43,6 +43,7 @@ def build(spark, datasets, params=None, paths=None, revision=None, ref=None):
     Code revision and reference come from the caller or from ``GIT_SHA`` and
     ``GIT_REF``.
     """
+    # fixed values: the names of the keys
     fixed = {
         "source.git_sha": revision or os.getenv("GIT_SHA") or "unknown",
         "source.git_ref": ref or os.getenv("GIT_REF") or "unknown",

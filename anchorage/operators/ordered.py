@@ -10,6 +10,8 @@ The cuts are explicit numbers on the driver (at most ``buckets`` of them), so a
 recomputed task sees exactly the same buckets.
 """
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -55,6 +57,8 @@ def _cut(df, number, buckets):
     """Quantile cuts of a double column and the values heavy enough to span several cuts."""
     probs = [i / buckets for i in range(1, buckets)]
     points = df.select(number.alias(_NUMBER)).approxQuantile(_NUMBER, probs, 0.25 / buckets)
+    # infinite values fall into the first or the last bucket
+    points = [p for p in points if math.isfinite(p)]
     heavy = sorted({a for a, b in zip(points, points[1:]) if a == b})
     return sorted(set(points)), heavy
 
@@ -141,7 +145,7 @@ def running_sums(
 
     Big groups are found by a count per key and split. ``split_all`` skips the
     count and splits every group, for when there are few of them (or, with an
-    empty ``by``, just one); ``by`` must not be null then. With it, ``made_from`` may
+    empty ``by``, just one). With it, ``made_from`` may
     give the rows that ``df`` is an aggregate of, under the same column names: cuts
     and bucket totals are then taken from them, which spares computing ``df`` twice.
     """
@@ -154,25 +158,34 @@ def running_sums(
         assign = bucketing(source, order, buckets)
         coded = assign(df)
         offsets = _offsets(assign(source), by, sums, descending, totals)
-        return _from_offsets(coded.join(offsets, [*by, _BUCKET]), by, order, sums, descending, totals)
+        joined = _join(coded, offsets, [*by, _BUCKET], "inner")
+        return _from_offsets(joined, by, order, sums, descending, totals)
 
     hot = hot_keys(df, by, buckets, group_rows)
     found = hot.collect()
     if not found:
         return _windowed(df, by, order, sums, descending, totals)
     hot = df.sparkSession.createDataFrame(found, hot.schema).withColumn("_hot", F.lit(True))
-    marked = df.join(F.broadcast(hot), by, "left")
+    marked = _join(df, hot, by, "left", F.broadcast)
     big = with_buckets(marked.where("_hot"), order, buckets)
     # at most one row per hot key and bucket
-    offsets = F.broadcast(_offsets(big, by, sums, descending, totals))
+    offsets = _offsets(big, by, sums, descending, totals)
     rest = marked.where("_hot is null").withColumn(_BUCKET, F.lit(-2).cast("long"))
     coded = big.unionByName(rest).drop("_hot")
-    joined = coded.join(offsets, [*by, _BUCKET], "left")
+    joined = _join(coded, offsets, [*by, _BUCKET], "left", F.broadcast)
     return _from_offsets(joined, by, order, sums, descending, totals).select(
         *df.columns, *[f"{k}_total" for k in totals], *sums
     )
 
 
+def _join(left, right, on, how, hint=lambda df: df):
+    """Join on columns of equal names in which null is a value like any other."""
+    renamed = {c: f"_right{i}" for i, c in enumerate(on)}
+    right = hint(right.withColumnsRenamed(renamed))
+    same = [F.col(c) == F.col(r) if c == _BUCKET else F.col(c).eqNullSafe(F.col(r)) for c, r in renamed.items()]
+    return left.join(right, same, how).drop(*renamed.values())
+
+
 def _offsets(coded, by, sums, descending, totals):
     """Per (by, bucket) the sums of the buckets before it, and the totals of the group."""
     per_bucket = coded.groupBy(*by, _BUCKET).agg(

@@ -125,4 +125,4 @@ def absent_inputs(spark, paths):
 def require_inputs(spark, paths):
     gone = absent_inputs(spark, paths)
     if gone:
-        raise FileNotFoundError(f"Unable to find files: {', '.join(gone)}")
+        raise FileNotFoundError(f"these inputs do not exist: {', '.join(gone)}")

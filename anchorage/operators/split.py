@@ -30,7 +30,7 @@ def sample(df, key, frac, seed=42):
     if not 0.0 < frac <= 1.0:
         raise ValueError(f"fraction must be in (0, 1], not {frac}")
     keys = [key] if isinstance(key, str) else list(key)
-    return df.where(hashing.bucket(seed, *keys) < F.lit(round(frac * hashing.BUCKETS)))
+    return df.where(hashing.below(seed, keys, frac))
 
 
 def shuffle(df, key, seed=42, out="shuffle_key"):

@@ -27,8 +27,12 @@ def sql(spark, text, **frames):
 
 
 def cast_key(df, col, dtype):
-    """Give a join key its type once, at the source, so the join itself stays a plain equi-join."""
-    return df.withColumn(col, F.col(col).cast(dtype))
+    """Give a join key its type once, at the source, so the join itself stays a plain equi-join.
+
+    A value that is not of the type becomes null, which joins with nothing; text such as
+    "007" is read as the number 7.
+    """
+    return df.withColumn(col, F.col(col).try_cast(dtype))
 
 
 def left_join(a, b, on):

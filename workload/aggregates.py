@@ -194,6 +194,23 @@ def corr_matrix(s):
     return explore.corr(s.vitalsign, VITAL_COLUMNS).withColumn("r", F.round("r", 6))
 
 
+WIDE = {f"{c}_{k}": f"{c} * {k} + abs({c} - {20 * k})" for c in VITAL_COLUMNS for k in range(1, 6)}
+WIDE_SQL = f"select {', '.join(f'{e} as {n}' for n, e in WIDE.items())} from vitalsign"
+
+
+@query(
+    "corr_matrix_wide",
+    sql=with_tables(
+        " union all ".join(f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) as r from wide" for a in WIDE for b in WIDE),
+        wide=WIDE_SQL,
+    ),
+)
+def corr_matrix_wide(s):
+    """25 columns, many of them with nulls."""
+    wide = s.vitalsign.select(*[F.expr(f"{e} as {n}") for n, e in WIDE.items()])
+    return explore.corr(wide).withColumn("r", F.round("r", 6))
+
+
 RETURNED_SQL = f"select {', '.join(LINE_NUMBERS)}, l_linenumber, cast(l_returnflag = 'R' as int) as returned from lineitem"
 
 
