@@ -83,6 +83,7 @@ class Bpe:
             done -= 1
         token = ends[text[:done]] if done else None
         token = token[0] if token else text[:0]
+        at = [None] * (n + 1)
         for end in range(done + 1, n + 1):
             # just one token fits; mostly it is the one before with the symbol added, or a short one
             found, begin = None, end - 1 - len(token)
@@ -93,11 +94,11 @@ class Bpe:
                         if self.whole(token):
                             found = (token, 1)
                             break
-                    elif (before := ends[text[:start]]) is not None:
+                    elif (before := at[start] if start > done else ends[text[:start]]) is not None:
                         fits = joints.get((before[0], token))
                         if fits or (fits is None and self.whole(token) and self.stays(before[0], token)):
                             found = (token, before[1] + 1)
                             break
-            ends[text[:end]] = found
+            ends[text[:end]] = at[end] = found
             token = found[0] if found else text[:0]
         return ends

@@ -42,12 +42,16 @@ class Pieces:
         order = {p: -s for p, s in self.score.items()}
         self.bpe = Bpe(lambda a, b: order.get(a + b), set(self.id))
         self.longest = self.bpe.longest
-        # a unit is blanks and what follows them; no piece reaches from one into the next
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("a piece has a blank inside; units of this model are not independent")
-        self.units = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        # marks that no piece has after a letter: a word is the same with and without one
-        self.marks = {c for c in ",.;:!?" if not any(re.search(rf"[^\W\d_]{re.escape(c)}", p) for p in self.id)}
+        # characters that no piece has side by side never merge, so a unit ends between them
+        pairs = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
+        place = {c: i for i, c in enumerate(sorted(set("".join(pairs))), 1)}
+        self.code = np.zeros(0x110000, np.uint16)
+        self.code[[ord(c) for c in place]] = list(place.values())
+        self.apart = np.ones((len(place) + 1,) * 2, bool)
+        for a, b in pairs:
+            self.apart[place[a], place[b]] = False
         self.cache = Ids(lambda new: [self.ids(self.unit(u)) for u in new], REMEMBERED // 2)
         self.text = [b""] * n
         for p, i in self.id.items():
@@ -58,6 +62,14 @@ class Pieces:
     def normal(self, text):
         return self.sp.normalize(text)
 
+    def units(self, text):
+        """The text in pieces of text that no merge reaches across."""
+        if not text:
+            return []
+        code = self.code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        cuts = (np.flatnonzero(self.apart[code[:-1], code[1:]]) + 1).tolist()
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+
     def ids(self, pieces):
         out = []
         for p in pieces:
@@ -97,8 +109,6 @@ class Pieces:
 
     def unit(self, text):
         """The pieces of a unit from its start."""
-        if text[-1] in self.marks and text[-2:-1].isalpha():
-            return [*self.unit(text[:-1]), text[-1]]
         ends, out = self.bpe.prefixes(text), []
         while text:
             out.append(ends[text][0])
@@ -108,7 +118,7 @@ class Pieces:
     def trace(self, text, state):
         """The pieces of a text after a state, up to its end; None if no path gets there."""
         if state == START:
-            return [p for u in self.units.findall(text) for p in self.unit(u)]
+            return [p for u in self.units(text) for p in self.unit(u)]
         last, over = state
         at, end, out = self.walk(text[over:], last), len(text) - over, []
         if end < 0 or at[end] is None:
@@ -167,7 +177,7 @@ class Pieces:
         first, last = edges
         heads = [(a, self.trace(text[:first], a)) for a in ins]
         tails = [(b, self.into(text[last:], START, b)) for b in outs]
-        middle = float(self.scores[self.cache.of(self.units.findall(text[first:last]))].sum())
+        middle = float(self.scores[self.cache.of(self.units(text[first:last]))].sum())
         for a, head in heads:
             for b, tail in tails:
                 if head is not None and tail is not None:
@@ -182,10 +192,10 @@ class Pieces:
         first, last = edges
         head = self.ids(self.trace(text[:first], state))
         tail = self.ids(self.into(text[last:], START, out))
-        return np.concatenate([np.array(head, np.uint32), self.cache.of(self.units.findall(text[first:last])), np.array(tail, np.uint32)])
+        return np.concatenate([np.array(head, np.uint32), self.cache.of(self.units(text[first:last])), np.array(tail, np.uint32)])
 
     def encode(self, text):
-        return self.cache.of(self.units.findall(self.normal(text)))
+        return self.cache.of(self.units(self.normal(text)))
 
     def decode(self, ids):
         """The text of ids; a byte sequence that is no character becomes a replacement mark."""
