@@ -5,6 +5,8 @@ neighbours, taken alone, are left as they are. So the last token of a prefix is
 token that ends there and agrees with the last token of the prefix before it.
 """
 
+from itertools import chain
+
 FOREVER = 1 << 60
 REMEMBERED = 1 << 20
 
@@ -87,7 +89,7 @@ class Bpe:
         for end in range(done + 1, n + 1):
             # just one token fits; mostly it is the one before with the symbol added, or a short one
             found, begin = None, end - 1 - len(token)
-            for start in (begin, *range(end - 1, max(0, end - longest) - 1, -1)):
+            for start in chain((begin,), range(end - 1, max(0, end - longest) - 1, -1)):
                 token = text[start:end]
                 if token in tokens or end - start == 1:
                     if not start:

@@ -128,11 +128,12 @@ class Ids:
     """Ids of pieces of text met before, laid end to end, so that a text is one gather.
 
     ``learn(new)`` gives a list of ids for each of some new pieces. What is remembered is
-    bounded; ``remember`` forgets all when it is full.
+    bounded by two halves: when one is full, it becomes the older one and a new one begins,
+    which takes over what is met again.
     """
 
     def __init__(self, learn, most=1 << 19):
-        self.learn, self.most = learn, most
+        self.learn, self.half, self.older = learn, most // 2, ({}, None, None)
         self.forget()
 
     def forget(self):
@@ -144,11 +145,16 @@ class Ids:
         new = set(pieces).difference(known)
         if not new:
             return
-        if len(known) >= self.most or self.used >= 16 * self.most:
+        if len(known) >= self.half or self.used >= 16 * self.half:
+            self.older = (self.known, self.flat, self.place)
             self.forget()
             known, new = self.known, set(pieces)
-        new = list(new)
-        ids = self.learn(new)
+        met, flat, place = self.older
+        again = [p for p in new if p in met]
+        ids = [flat[a : a + n].tolist() for a, n in (place[met[p]] for p in again)]
+        fresh = list(new.difference(again))
+        ids += self.learn(fresh) if fresh else []
+        new = again + fresh
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         n, k = self.used + int(size.sum()), len(known)
         if n > len(self.flat):
@@ -167,6 +173,6 @@ class Ids:
             return np.zeros(0, np.uint32)
         self.remember(pieces)
         known = self.known
-        first, length = self.place[[known[p] for p in pieces]].T
+        first, length = self.place[np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))].T
         begin = np.cumsum(length) - length
         return self.flat[np.arange(length.sum()) + np.repeat(first - begin, length)]

@@ -32,6 +32,7 @@ class Pieces:
     def __init__(self, path):
         import sentencepiece
 
+        self.path = path
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
         sp, n = self.sp, self.sp.vocab_size()
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
@@ -53,11 +54,6 @@ class Pieces:
         for a, b in pairs:
             self.apart[place[a], place[b]] = False
         self.cache = Ids(lambda new: [self.ids(self.unit(u)) for u in new], REMEMBERED // 2)
-        self.text = [b""] * n
-        for p, i in self.id.items():
-            self.text[i] = p.replace(SPACE, " ").encode()
-        for b, i in self.byte.items():
-            self.text[i] = bytes([b])
 
     def normal(self, text):
         return self.sp.normalize(text)
@@ -68,7 +64,7 @@ class Pieces:
             return []
         code = self.code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
         cuts = (np.flatnonzero(self.apart[code[:-1], code[1:]]) + 1).tolist()
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+        return list(map(text.__getitem__, map(slice, [0, *cuts], [*cuts, len(text)])))
 
     def ids(self, pieces):
         out = []
@@ -197,9 +193,30 @@ class Pieces:
     def encode(self, text):
         return self.cache.of(self.units(self.normal(text)))
 
+    def decode(self, ids):
+        return spelling(self.path).decode(ids)
+
+
+class Spelling:
+    """The bytes of each id; all that decoding needs of a model."""
+
+    def __init__(self, path):
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.text = np.array([self.bytes(sp, i) for i in range(sp.vocab_size())], dtype=object)
+
+    @staticmethod
+    def bytes(sp, i):
+        if sp.is_byte(i):
+            return bytes([int(sp.id_to_piece(i)[3:5], 16)])
+        if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
+            return b""
+        return sp.id_to_piece(i).replace(SPACE, " ").encode()
+
     def decode(self, ids):
         """The text of ids; a byte sequence that is no character becomes a replacement mark."""
-        out = b"".join([self.text[i] for i in ids]).decode("utf-8", "replace")
+        out = b"".join(self.text[np.asarray(ids, np.int64)].tolist()).decode("utf-8", "replace")
         return out[1:] if out.startswith(" ") else out
 
 
@@ -208,6 +225,11 @@ def pieces(path):
     return Pieces(path)
 
 
+@cache
+def spelling(path):
+    return Spelling(path)
+
+
 def combine(a, b):
     """Max-plus product of two transfer matrices, {(in, out): weight}."""
     by_in = {}
@@ -322,7 +344,7 @@ def decode(encoded, path, ids_col="ids", out_col="text"):
     """Add the text of each row's ids; null ids give a null text, no ids an empty one."""
 
     def run(batches):
-        model = pieces(path)
+        model = spelling(path)
         for batch in sliced(batches):
             yield batch.assign(**{out_col: [None if x is None else model.decode(x) for x in batch[ids_col]]})
 
