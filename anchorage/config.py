@@ -31,7 +31,6 @@ ED_COLUMNS = {
 LABS = ["glucose", "lactate", "creatinine"]
 VITALS = ["heart_rate", "blood_pressure", "resp_rate", "temp_f", "spO2"]
 MANDATORY = ["gender", "age", "hospital_expire_flag"]
-ONE_HOT = ["gender"]
 GENDER_CODES = {"M": 0, "F": 1}
 LABEL = "hospital_expire_flag"
 FRONTAL_VIEWS = ["AP", "PA"]

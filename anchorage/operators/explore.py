@@ -211,10 +211,6 @@ def study_counts(meta, subject="subject_id", date="StudyDate", study="study_id")
     )
 
 
-def distinct(df, cols):
-    return df.select(*cols).distinct()
-
-
 def first_per(df, key, order):
     """One deterministic row per key, e.g. per (subject, timestamp); a global key is just fewer columns."""
     return ranking.first(df, key, order)

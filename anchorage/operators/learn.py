@@ -23,6 +23,8 @@ def fit_baseline(train, features, label, weight=None, max_iter=50):
     y = F.col(label).cast("double")
     if weight is None:
         counts = train.agg(F.sum(y).alias("p"), F.count(label).alias("n")).first()
+        if not counts["p"]:
+            raise ValueError(f"no training row has a positive {label}, so none can be weighted")
         weight = (counts["n"] - counts["p"]) / counts["p"]
     rows = train.where(F.col(label).isNotNull()).select(
         *features,

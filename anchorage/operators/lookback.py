@@ -40,6 +40,7 @@ class Span:
     per_key: int
     low: datetime | int | None
     high: datetime | int | None
+    window: tuple = ()
 
     @property
     def small(self):
@@ -55,7 +56,7 @@ def span(anchor, on, t0, before, after=0):
         F.count(F.lit(1)).alias("n"), F.min(low).alias("low"), F.max(high).alias("high")
     )
     row = per_key.agg(F.sum("n"), F.max("n"), F.min("low"), F.max("high")).first()
-    return Span(row[0] or 0, row[1] or 0, row[2], row[3])
+    return Span(row[0] or 0, row[1] or 0, row[2], row[3], (t0, before, after))
 
 
 def _width(before, after):
@@ -76,14 +77,16 @@ def _keys(on):
 def join(anchor, events, on, t0, t, before, after=0, found=None):
     """Pairs with ``t`` in ``[t0 - before, t0 + after]`` hours, both ends included.
 
-    ``found`` is the ``span`` of the anchors, if it is known.
+    ``found`` is the ``span`` of these anchors and this window, if it is known.
     """
     on, width = _keys(on), _width(before, after)
     low, high = times.bounds(t0, before, after)
     if found is not None:
+        if found.window != (t0, before, after):
+            raise ValueError(f"the span is that of {found.window}, not of {(t0, before, after)}")
         # reaches the scan, which skips files and row groups outside
         events = events.where(F.col(t).between(_stamp(found.low), _stamp(found.high)))
-        if found.small:
+        if found.small and _fixed_width(anchor):
             return F.broadcast(anchor).join(events, on).where(F.col(t).between(low, high))
     left = anchor.withColumn(_SLOT, F.explode(F.sequence(slot(low, width), slot(high, width))))
     right = events.withColumn(_SLOT, slot(t, width))
@@ -93,6 +96,12 @@ def join(anchor, events, on, t0, t, before, after=0, found=None):
     return left.join(right, [*on, _SLOT]).where(inside).drop(_SLOT)
 
 
+def _fixed_width(df):
+    """Whether the number of rows bounds the bytes too."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return all(isinstance(f.dataType, fixed) for f in df.schema)
+
+
 def _stamp(t):
     if isinstance(t, int):
         return F.timestamp_micros(F.lit(t))

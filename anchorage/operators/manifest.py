@@ -37,16 +37,20 @@ def file_hashes(spark, root, pattern="*"):
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def build(spark, datasets, params=None, paths=None, revision=None, ref=None):
+def build(spark, datasets, params=None, paths=None, revision=None, ref=None, files=None, digest="sha2"):
     """(key, value) rows describing a run; ``datasets`` = {name: DataFrame}, ``paths`` = {name: path}.
 
     Code revision and reference come from the caller or from ``GIT_SHA`` and
-    ``GIT_REF``.
+    ``GIT_REF``; it is an error if there is neither. ``files`` = {name: folder} adds a
+    hash over the names, lengths and contents of the files of each folder.
     """
+    revision, ref = revision or os.getenv("GIT_SHA"), ref or os.getenv("GIT_REF")
+    if not revision or not ref:
+        raise ValueError("a run needs the revision and the reference of its code")
     # fixed values: the names of the keys
     fixed = {
-        "source.git_sha": revision or os.getenv("GIT_SHA") or "unknown",
-        "source.git_ref": ref or os.getenv("GIT_REF") or "unknown",
+        "source.git_sha": revision,
+        "source.git_ref": ref,
         "environment.platform": platform.platform(),
         "environment.python_version": platform.python_version(),
         "environment.spark_version": spark.version,
@@ -57,10 +61,16 @@ def build(spark, datasets, params=None, paths=None, revision=None, ref=None):
     fixed |= {k: str(v) for k, v in (params or {}).items()}
     fixed |= {f"dataset.{k}_filepath": v for k, v in (paths or {}).items()}
     out = spark.createDataFrame(sorted(fixed.items()), "key string, value string")
-    for name, df in datasets.items():
-        f = fingerprint(df)
+    listed = {
+        name: file_hashes(spark, root).select(F.regexp_extract("path", "[^/]*$", 0).alias("name"), "length", "sha256")
+        for name, root in (files or {}).items()
+    }
+    hashed = [(f"{k}_fingerprint", df) for k, df in datasets.items()]
+    hashed += [(f"{k}_files", df) for k, df in listed.items()]
+    for name, df in hashed:
+        f = fingerprint(df, digest=digest)
         body = F.concat_ws(":", F.col("rows").cast("string"), "slice_a", "slice_b")
         out = out.unionByName(
-            f.select(F.lit(f"dataset.{name}_fingerprint").alias("key"), body.alias("value"))
+            f.select(F.lit(f"dataset.{name}").alias("key"), body.alias("value"))
         )
     return out

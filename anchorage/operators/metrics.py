@@ -96,7 +96,7 @@ def from_curve(points, by=(), spec=0.95):
     return points.groupBy(*by).agg(
         _auroc().alias("AUROC"),
         _average_precision().alias("AUPRC"),
-        _sensitivity(spec).alias("sens_at_95_spec"),
+        _sensitivity(spec).alias(f"sens_at_{100 * spec:g}_spec"),
     )
 
 
@@ -142,7 +142,7 @@ def report(df, logit, label, weight, by=(), spec=0.95):
         loss.alias("loss"),
         _auroc().alias("AUROC"),
         _average_precision().alias("AUPRC"),
-        _sensitivity(spec).alias("sens_at_95_spec"),
+        _sensitivity(spec).alias(f"sens_at_{100 * spec:g}_spec"),
     )
 
 

@@ -10,8 +10,6 @@ from anchorage.functions.names import quoted, rows, text
 from anchorage.operators import ordered
 
 EPSILON = 1e-8
-# rows up to which exact medians of all columns fit comfortably into one task
-SMALL = 100_000
 
 
 def _row(one):
@@ -38,29 +36,24 @@ def indicators(df, feats):
     return df.selectExpr("*", *flags)
 
 
-def fit_medians(df, cols, approx=False, accuracy=10_000, small=SMALL):
+def fit_medians(df, cols, approx=False, accuracy=10_000):
     """Exact median of each column as a one-row frame; all-null columns give null.
 
-    Up to ``small`` rows the built-in aggregate is used, which keeps every
-    distinct value. Beyond that a sketch first brackets each median within a few
-    ten-thousandths of the rows; only values inside the bracket are counted, and
-    the running counts pick the middle one or two. ``approx`` stops at the sketch.
+    A sketch first brackets each median within a few ten-thousandths of the rows;
+    only values inside the bracket are counted, and the running counts pick the
+    middle one or two. It is an error if a bracket misses its median. ``approx``
+    stops at the sketch.
     """
     cols = list(cols)
     wide = df.selectExpr(*[f"cast({quoted(c)} as double) as {quoted(c)}" for c in cols])
     if approx:
         return _each(wide, cols, f"percentile_approx({{}}, 0.5, {accuracy})")
-    n = wide.count()
-    if n <= small:
-        return _each(wide, cols, "median({})")
-
     slack = 2.0 / accuracy
     sketch = _each(wide, cols, f"percentile_approx({{}}, array({0.5 - slack}, {0.5 + slack}), {accuracy})")
     bracket = {c: tuple(map(_double, span)) for c, span in sketch.first().asDict().items() if span}
     if not bracket:
         return _each(wide, cols, "max({})")
-    # distinct values a bracket can hold: its share of the rows, with the sketch's own error
-    return _middle(wide, cols, bracket, buckets=1 if 3 * slack * n <= small else None)
+    return _middle(wide, cols, bracket)
 
 
 def _each(df, cols, aggregate):
@@ -71,7 +64,7 @@ def _double(x):
     return f"double('{x!r}')"
 
 
-def _middle(wide, cols, bracket, buckets):
+def _middle(wide, cols, bracket, buckets=None):
     """Medians of the bracketed columns from the counts of the values inside their brackets."""
     below = wide.agg(
         *[
@@ -97,8 +90,9 @@ def _middle(wide, cols, bracket, buckets):
     def at(k):
         return f"max(case when start < {k} and {k} <= last then v end)"
 
+    missed = "cast(raise_error('the sketch does not bracket the median of ' || column) as double)"
     middle = placed.groupBy("column").agg(
-        F.expr(f"({at('(n + 1) div 2')} + {at('n div 2 + 1')}) / 2 as median")
+        F.expr(f"coalesce(({at('(n + 1) div 2')} + {at('n div 2 + 1')}) / 2, {missed}) as median")
     )
     return middle.agg(
         *[F.expr(f"max(case when column = {text(c)} then median end) as {quoted(c)}") for c in cols]

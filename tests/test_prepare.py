@@ -66,12 +66,11 @@ def test_bracketed_median_is_exact(spark, n, buckets, monkeypatch):
     # ties, a skewed column, a constant, nulls
     rows = [(rnd.gauss(0, 1), float(rnd.randrange(4)), 7.0, rnd.random() ** 9 if i % 3 else None) for i in range(n)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")
-    small = -1
     if buckets == "split":
         # make the inside counts go through the split running sums
         real = prepare._middle
         monkeypatch.setattr(prepare, "_middle", lambda *a, **k: real(*a[:3], buckets=4))
-    got = prepare.fit_medians(df, ["a", "b", "c", "d"], accuracy=50, small=small).first()
+    got = prepare.fit_medians(df, ["a", "b", "c", "d"], accuracy=50).first()
     for i, name in enumerate("abcd"):
         present = [r[i] for r in rows if r[i] is not None]
         want = statistics.median(present) if present else None

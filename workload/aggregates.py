@@ -421,7 +421,7 @@ def weighted_baseline(s):
     )
     parts = split.by_hash(rows, "l_orderkey", C.SPLIT_FRACTIONS, C.SPLIT_SEED)
     model = learn.fit_baseline(
-        parts.where("split = 'train'"), [*LINE_NUMBERS, "l_linenumber"], "returned", max_iter=10
+        parts.where("split = 'train'"), [*LINE_NUMBERS, "l_linenumber"], "returned"
     )
     scored = learn.score(model, parts.where("split = 'val'"))
     return metrics.report(scored, "logit", "returned", 1.0)
@@ -430,15 +430,35 @@ def weighted_baseline(s):
 # --- lineage and contracts ---
 
 
-@query("run_manifest")
+MANIFEST_PARAMS = {"dataset.loss_positive_weight": C.POSITIVE_WEIGHT, "lookback.hours": HOURS}
+MANIFEST_ROWS = {
+    "source.git_sha": "stand-in",
+    "source.git_ref": "workload",
+    "dataset.events_filepath": "events.parquet",
+    **{k: str(v) for k, v in MANIFEST_PARAMS.items()},
+}
+
+
+@query(
+    "run_manifest",
+    sql=f"""select 'dataset.events_fingerprint' as key, count(*)::varchar || ':'
+       || cast(sum(('0x' || substr(h, 1, 15))::bigint) as varchar) || ':'
+       || cast(sum(('0x' || substr(h, 16, 15))::bigint) as varchar) as value
+from (select md5({EVENT_TEXT_SQL}) as h from events)"""
+    + "".join(f" union all select '{k}', '{v}'" for k, v in MANIFEST_ROWS.items()),
+)
 def run_manifest(s):
-    names = ["events", "customer"]
-    return manifest.build(
+    """All but the environment rows, which differ from machine to machine."""
+    table = manifest.build(
         s.spark,
-        {n: s.raw(n) for n in names},
-        {"dataset.loss_positive_weight": C.POSITIVE_WEIGHT, "lookback.hours": HOURS},
-        {n: f"{s.dir}/{n}.parquet" for n in names},
+        {"events": s.raw("events").select(*ORDERED_TEXT)},
+        MANIFEST_PARAMS,
+        {"events": MANIFEST_ROWS["dataset.events_filepath"]},
+        revision=MANIFEST_ROWS["source.git_sha"],
+        ref=MANIFEST_ROWS["source.git_ref"],
+        digest="md5",
     )
+    return table.where("key not like 'environment.%'")
 
 
 @query(
@@ -548,9 +568,6 @@ def model_matrix(s):
     )
 
 
-REPORT_FEATURES = LINE_NUMBERS + ["l_linenumber"]
-
-
 @query(
     "explore_report",
     sql=with_tables(

@@ -488,8 +488,7 @@ def filter_time_window(s):
 
 @query("filter_rank", sql=with_tables("select subject_id, stay_id, intime from first_stay"))
 def filter_rank(s):
-    numbered = ranking.number(s.icustays.drop("hadm_id"), "subject_id", ["intime", "stay_id"])
-    return numbered.where("stay_number = 1").drop("stay_number")
+    return ranking.first(s.icustays.drop("hadm_id"), "subject_id", ["intime", "stay_id"])
 
 
 @query(
