@@ -49,7 +49,7 @@ class WordIds:
         vocab = self.words.get_vocab(with_added_tokens=False)
         self.ending = np.zeros(max(vocab.values()) + 1, bool)
         self.ending[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.ids, self.chunks = {}, Ids(self.learn)
+        self.ids, self.chunks = {}, Ids(self.learn, 1 << 20)
 
     def normal(self, text):
         if "Σ" in text:  # the library lower-cases letter by letter, Python looks at a sigma's place
