@@ -14,11 +14,12 @@ def fuse(a, b, on, left="a", right="b", out="fused"):
     )
 
 
-def fit_baseline(train, features, label, weight=None, max_iter=50):
+def fit_baseline(train, features, label, weight=None, max_iter=200, tol=1e-9):
     """Logistic regression on the tabular features; positives count ``weight`` times.
 
     ``weight=None`` takes negatives / positives of the training rows. The fit runs
-    as aggregates over the partitions of ``train``.
+    as aggregates over the partitions of ``train``; it is an error if it has not
+    converged to ``tol`` after ``max_iter`` rounds.
     """
     y = F.col(label).cast("double")
     if weight is None:
@@ -34,10 +35,32 @@ def fit_baseline(train, features, label, weight=None, max_iter=50):
     steps = [
         VectorAssembler(inputCols=list(features), outputCol="_vector"),
         LogisticRegression(
-            featuresCol="_vector", labelCol="_label", weightCol="_weight", maxIter=max_iter
+            featuresCol="_vector", labelCol="_label", weightCol="_weight", maxIter=max_iter, tol=tol
         ),
     ]
-    return Pipeline(stages=steps).fit(rows)
+    model = Pipeline(stages=steps).fit(rows)
+    if model.stages[-1].summary.totalIterations >= max_iter:
+        raise ValueError(f"the baseline has not converged in {max_iter} rounds")
+    return model
+
+
+def gradients(model, df, features, label, weight):
+    """(term, rows, positives, gradient): mean weighted derivative of the loss by each standardised term.
+
+    All are near zero on the rows a converged model was fitted to, whatever fitted it.
+    """
+    y = F.col(label).cast("double")
+    scored = score(model, df.where(F.col(label).isNotNull()), "_p", "_logit")
+    pull = (F.col("_p") - y) * F.when(y == 1.0, F.lit(float(weight))).otherwise(1.0)
+    terms = {"intercept": F.avg(pull)}
+    for c in features:
+        terms[c] = F.try_divide(F.avg(pull * F.col(c)), F.stddev_samp(c))
+    one = scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(y).cast("long").alias("positives"),
+        F.array(*[F.struct(F.lit(k).alias("term"), v.alias("gradient")) for k, v in terms.items()]).alias("t"),
+    )
+    return one.select("rows", "positives", F.inline("t")).select("term", "rows", "positives", "gradient")
 
 
 def score(model, df, out="score", logit="logit"):

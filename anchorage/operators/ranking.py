@@ -9,7 +9,10 @@ def first(df, key, order):
     """The earliest whole row per key.
 
     An aggregate, not a window: each task keeps one candidate per key before
-    anything is shuffled, so a key with very many rows costs nothing extra.
+    anything is shuffled, so no task gathers the rows of a busy key. Spark sorts each
+    input partition by key for it. ``row_number() = 1`` sorts too, and by the order as
+    well: 12 million rows of 300,000 keys took it 3.3 s against 2.6 s (three fixed-width
+    columns) and 3.9 s against 3.2 s (a text column more), warm, on 8 cores.
     """
     key = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in key]

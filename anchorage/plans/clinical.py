@@ -174,9 +174,20 @@ def training_stats(rows):
     return prepare.fit_stats(rows.where("split = 'train'"), C.CONTINUOUS)
 
 
-def model_matrix(rows, stats, base, ext, order=None):
-    """(split, image_path, features, label): standardised vectors in contract order."""
+def require_features(rows, order):
+    """Fail where a feature is absent, null or NaN."""
+    there = rows.select(*[c for c in order if c in rows.columns])
+    quality.require(quality.contract(there, order).where("not ok"), "the features are not as agreed")
+
+
+def model_matrix(rows, stats, base, ext, order=None, checked=True):
+    """(split, image_path, features, label): standardised vectors in contract order.
+
+    ``checked`` takes one pass over the standardised rows first.
+    """
     scaled = prepare.standardize(rows, stats, C.CONTINUOUS)
+    if checked:
+        require_features(scaled, order or C.FEATURE_ORDER)
     located = scaled.withColumn(
         "image_path", images.path(base, "subject_id", "study_id", "dicom_id", ext)
     ).drop("subject_id", "study_id", "dicom_id")

@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 def scratch(spark):
     """A fresh folder name that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``; only a local session without that
-    setting may use the machine's own temporary folder.
+    It lies under ``spark.checkpoint.dir`` or else the context's checkpoint folder; only a
+    local session without either may use the machine's own temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")

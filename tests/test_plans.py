@@ -90,7 +90,9 @@ def test_prepared_rows_meet_the_contract(built):
     assert {r["gender"] for r in rows.select("gender").distinct().collect()} == {0, 1}
     assert rows.where("lactate_missing = 1 and lactate_mean is null").count() == 0
     stats = clinical.training_stats(rows)
-    matrix = clinical.model_matrix(rows, stats, "img/", ".jpg")
+    with pytest.raises(ValueError, match="creatinine_min"):
+        clinical.model_matrix(rows, stats, "img/", ".jpg")
+    matrix = clinical.model_matrix(rows, stats, "img/", ".jpg", checked=False)
     got = matrix.where("image_path like '%/d11.jpg'").first()
     assert got["image_path"] == "img/p11/p11/s110/d11.jpg" and len(got["features"]) == 34
     assert matrix.columns == ["split", "image_path", "features", C.LABEL]
@@ -103,3 +105,15 @@ def test_checks_stop_a_broken_dataset(built):
         clinical.prepared(built.selectExpr("* except (age)", "cast(null as bigint) as age"))
     with pytest.raises(ValueError, match="unexpected gender"):
         clinical.prepared(built.selectExpr("* except (gender)", "case when subject_id = 12 then 'x' else gender end as gender"))
+
+
+def test_absent_null_and_nan_features_stop_the_matrix(frame):
+    rows = frame("a double, b double", (1.0, 2.0), (2.0, None))
+    with pytest.raises(ValueError, match="'b'"):
+        clinical.require_features(rows, ["a", "b"])
+    with pytest.raises(ValueError, match="'b'"):
+        clinical.require_features(rows.fillna(float("nan")), ["a", "b"])
+    with pytest.raises(ValueError, match="'c'"):
+        clinical.require_features(rows.select("a"), ["a", "c"])
+    clinical.require_features(rows.select("a"), ["a"])
+    clinical.require_features(rows.fillna(0.0).limit(0), ["b", "a"][::-1])

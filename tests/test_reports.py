@@ -94,8 +94,29 @@ def test_bootstrap_interval(spark):
         assert abs(got[g]["low"] - (p - half)) < half / 5 and abs(got[g]["high"] - (p + half)) < half / 5
     again = explore.bootstrap_mean(df.repartition(5), "g", "y").collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, got.values()))
-    with pytest.raises(Exception, match="must be 0 or 1"):
-        explore.bootstrap_mean(df.withColumn("y", F.col("y") + 1), "g", "y").collect()
+
+
+def test_bootstrap_of_any_numeric_label(frame):
+    rnd = random.Random(3)
+    ys = [rnd.gauss(10, 3) for _ in range(800)]
+    df = frame("g string, y double", *[(None, y) for y in ys], ("one", 4.0), ("none", None))
+    got = {r["g"]: r for r in explore.bootstrap_mean(df, "g", "y").collect()}
+    mean = sum(ys) / len(ys)
+    half = 1.96 * math.sqrt(sum((y - mean) ** 2 for y in ys) / (len(ys) - 1) / len(ys))
+    assert got.keys() == {None, "one"} and math.isclose(got[None]["mean"], mean)
+    assert abs(got[None]["low"] - (mean - half)) < half / 5 and abs(got[None]["high"] - (mean + half)) < half / 5
+    assert (got["one"]["low"], got["one"]["high"]) == (4.0, 4.0)
+
+
+def test_binned_density_is_near_the_exact_one_on_the_columns_own_range(frame):
+    rnd = random.Random(4)
+    xs = [rnd.gauss(5, 1) for _ in range(500)]
+    df = frame("g string, x double", *[("a", x) for x in xs], ("flat", 2.0), ("flat", None))
+    exact, binned = (explore.kde(df, "x", "g", points=21, bins=b).orderBy("point").collect() for b in (None, 800))
+    assert exact[0]["x"] == min(xs + [2.0]) and math.isclose(exact[-1]["x"], max(xs))
+    assert len(exact) == len(binned) == 21
+    assert all(abs(a["density"] - b["density"]) < 1e-4 for a, b in zip(exact, binned))
+    assert explore.kde(df.where("false"), "x", "g", bins=10).collect() == []
 
 
 def test_density_integrates_to_one_and_matches_the_formula(spark):
@@ -187,5 +208,10 @@ def test_baseline_learns_and_weighs(spark):
     val = learn.score(model, parts.where("split = 'val'"))
     got = metrics.report(val, "logit", "y", 1.0).first()
     assert got["AUROC"] > 0.85
+    train = parts.where("split = 'train'")
+    slopes = learn.gradients(model, train, ["a", "b"], "y", train.agg(F.expr("count_if(y = 0) / sum(y)")).first()[0])
+    assert {r["term"] for r in slopes.collect() if abs(r["gradient"]) < 1e-4} == {"intercept", "a", "b"}
+    with pytest.raises(ValueError, match="not converged"):
+        learn.fit_baseline(train, ["a", "b"], "y", max_iter=1)
     # with weighted positives about half of the mass is called positive
     assert val.agg(F.avg("score")).first()[0] > 0.3

@@ -175,9 +175,19 @@ def rate_by_flag(s):
     return rates.select("flag", "rows", *rounded("rate_pct", "difference_pct"))
 
 
-@query("rate_ci")
+@query(
+    "rate_ci",
+    sql="""select toxic, count(quality) as rows, round(avg(quality), 6) as mean, true as interval_ok
+from labels where quality is not null group by toxic""",
+)
 def rate_ci(s):
-    return explore.bootstrap_mean(s.raw("labels"), "toxic", "quality")
+    """Draws have no SQL; the interval must hold the mean and be about as wide as the analytic one."""
+    found = explore.bootstrap_mean(s.raw("labels"), "toxic", "quality")
+    width = 2 * 1.96 * F.sqrt(F.col("mean") * (1 - F.col("mean")) / F.col("rows"))
+    about = F.abs(F.col("high") - F.col("low") - width) <= 0.2 * width
+    return found.select(
+        "toxic", "rows", F.round("mean", 6).alias("mean"), (about & F.col("mean").between(F.col("low"), F.col("high"))).alias("interval_ok")
+    )
 
 
 @query(
@@ -261,6 +271,25 @@ def density_grid(s):
     return grid.select("l_returnflag", "point", *rounded("x", "density"))
 
 
+@query(
+    "density_grid_binned",
+    sql="""with r as (select min(l_extendedprice) as lo, max(l_extendedprice) as hi,
+                  (max(l_extendedprice) - min(l_extendedprice)) / 999e0 as w from lineitem),
+placed as (select l_returnflag, lo, w, (l_extendedprice - lo) / w as t from lineitem, r),
+cells as (select l_returnflag, lo + floor(t) * w as x, 1 - (t - floor(t)) as n from placed
+          union all select l_returnflag, lo + (floor(t) + 1) * w as x, t - floor(t) as n from placed),
+spread as (select l_returnflag, count(*) as rows, stddev_samp(l_extendedprice) * power(count(*), -0.2) as h
+           from lineitem group by all),
+grid as (select i as point, lo + i * ((hi - lo) / 24) as g from range(25) t(i), r)
+select l_returnflag, cast(point as int) as point, round(g, 6) as x,
+       round(1e6 * sum(n * exp(-0.5 * ((g - cells.x) / h) * ((g - cells.x) / h))) / (any_value(rows) * any_value(h) * sqrt(2 * pi())), 6) as density
+from cells join spread using (l_returnflag), grid group by l_returnflag, point, g""",
+)
+def density_grid_binned(s):
+    grid = explore.kde(s.raw("lineitem"), "l_extendedprice", "l_returnflag", points=25, bins=1000)
+    return grid.withColumn("density", F.col("density") * 1e6).select("l_returnflag", "point", *rounded("x", "density"))
+
+
 @query(
     "scatter_pairs",
     sql=with_tables(
@@ -411,20 +440,36 @@ def best_epoch(s):
     return found.select("epoch", *rounded("mean_loss"))
 
 
-@query("weighted_baseline")
-def weighted_baseline(s):
+BASELINE_FEATURES = [*LINE_NUMBERS, "l_linenumber"]
+
+
+def baseline(s):
+    """The model, and the rows it is fitted to and scored on."""
     rows = s.raw("lineitem").select(
-        "l_orderkey",
-        *LINE_NUMBERS,
-        "l_linenumber",
-        (F.col("l_returnflag") == "R").cast("int").alias("returned"),
+        "l_orderkey", *BASELINE_FEATURES, (F.col("l_returnflag") == "R").cast("int").alias("returned")
     )
     parts = split.by_hash(rows, "l_orderkey", C.SPLIT_FRACTIONS, C.SPLIT_SEED)
-    model = learn.fit_baseline(
-        parts.where("split = 'train'"), [*LINE_NUMBERS, "l_linenumber"], "returned"
-    )
-    scored = learn.score(model, parts.where("split = 'val'"))
-    return metrics.report(scored, "logit", "returned", 1.0)
+    train, val = (parts.where(F.col("split") == name) for name in ("train", "val"))
+    return learn.fit_baseline(train, BASELINE_FEATURES, "returned", C.POSITIVE_WEIGHT), train, val
+
+
+@query(
+    "weighted_baseline",
+    sql=f"""with train as (select (l_returnflag = 'R')::int as returned from lineitem where {split_case('l_orderkey')} = 'train')
+select unnest({["intercept", *BASELINE_FEATURES]}) as term, rows, positives, true as converged
+from (select count(*) as rows, cast(sum(returned) as bigint) as positives from train)""",
+)
+def weighted_baseline(s):
+    """At the best fit, and only there, the loss has no slope in any term."""
+    model, train, _ = baseline(s)
+    found = learn.gradients(model, train, BASELINE_FEATURES, "returned", C.POSITIVE_WEIGHT)
+    return found.select("term", "rows", "positives", (F.abs("gradient") < 1e-4).alias("converged"))
+
+
+@query("baseline_report")
+def baseline_report(s):
+    model, _, val = baseline(s)
+    return metrics.report(learn.score(model, val), "logit", "returned", 1.0)
 
 
 # --- lineage and contracts ---
