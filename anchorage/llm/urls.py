@@ -1,8 +1,12 @@
 """URL verdicts: fixed rules first, then token combinations mined from labels by FP-growth."""
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
+from anchorage.sources import sinks
+
 # fixed values: (host, path, verdict)
 RULES = [
     ("org", "/", "allow"),
@@ -11,7 +15,9 @@ RULES = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-MIN_SUPPORT, MIN_CONFIDENCE = 0.001, 0.5
+# evidence for a mined rule, the same at every table size: bad pages, their share, and the
+# chance that so many are bad at the base rate
+MIN_BAD, MIN_CONFIDENCE, CHANCE = 5, 0.5, 1e-6
 BAD = "=bad"  # no token holds this sign
 
 
@@ -57,23 +63,101 @@ def matching_rule(host_col, path_col, rules=RULES):
     return found
 
 
-def mine(labelled, min_support=MIN_SUPPORT, min_confidence=MIN_CONFIDENCE):
-    """Rules (tokens, confidence, support, lift) from rows (tokens, bad).
-
-    FP-growth finds combinations in at least ``min_support`` of the labelled rows; a rule is
-    one that comes with a bad label with ``min_confidence`` or more. Rules that hold a
-    shorter one are left out. Both bounds are shares, so the number of rules is bounded
-    whatever the size. Rows with a null label do not count.
+def least_bad(base, min_bad=MIN_BAD, chance=CHANCE):
+    """The fewest bad pages, none good beside them, that can make a rule."""
+    return max(min_bad, math.ceil(math.log(chance) / math.log(base) - 1e-9))
+
+
+def is_rule(base, min_bad=MIN_BAD, min_confidence=MIN_CONFIDENCE, chance=CHANCE):
+    """Whether ``bad`` of ``pages`` make a rule: the lower Chernoff limit of their share is over the base rate."""
+    n, c = F.col("pages").cast("double"), F.col("bad").cast("double")
+    good = F.when(c < n, (n - c) * F.ln((n - c) / n / (1 - base))).otherwise(0.0)
+    evidence = c * F.ln(c / n / base) + good
+    return (c >= min_bad) & (c / n >= min_confidence) & (c / n > base) & (evidence >= -math.log(chance) - 1e-9)
+
+
+def shortest(rules, frequent):
+    """Rules that hold no shorter one, size by size."""
+    kept, rest = rules.limit(0), sinks.materialize(rules)
+    while (size := rest.agg(F.min(F.size("tokens"))).first()[0]) is not None:
+        level = rest.where(F.size("tokens") == size)
+        short = index(level, frequent).select("_token", F.col("tokens").alias("_short"))
+        longer = rest.where(F.size("tokens") > size)
+        holding = (
+            longer.select("tokens", F.explode("tokens").alias("_token"))
+            .join(short, "_token")
+            .where(F.size(F.array_except("_short", "tokens")) == 0)
+            .select("tokens")
+        )
+        kept, rest = kept.union(level), sinks.materialize(longer.join(holding, "tokens", "left_anti"))
+    return kept
+
+
+def mine(labelled, min_bad=MIN_BAD, min_confidence=MIN_CONFIDENCE, chance=CHANCE):
+    """Rules (tokens, confidence, pages, bad) from rows (tokens, bad), and (token, freq) of all tokens.
+
+    A rule is a combination of tokens with ``min_bad`` bad pages or more, of which
+    ``min_confidence`` or more are bad, and which would be so bad with at most ``chance``
+    if its pages were bad at the rate of all labelled ones. All bounds are counts or
+    chances of the rule's own pages, so a rule needs the same evidence at every table size.
+    Rules that hold a shorter one are left out. Rows with a null label do not count.
+
+    Nothing else is left out: FP-growth gets no token that is a rule (all it is in hold
+    a shorter one) or is on fewer bad pages than any rule needs, and one of the tokens
+    that are on the same pages; its rules hold for the others as well.
     """
-    baskets = labelled.where("bad is not null").select(
-        F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")
+    rows = sinks.materialize(labelled.where("bad is not null").withColumn("_row", F.monotonically_increasing_id()))
+    total, bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+    signs = [F.sum(F.xxhash64(F.lit(i), "tokens").cast("decimal(38,0)")).alias(f"_sign{i}") for i in range(2)]
+    every = sinks.materialize(
+        rows.select("tokens", "bad", F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("pages"), F.count_if("bad").alias("bad"), *signs)
+    )
+    frequent = every.select("token", F.col("pages").alias("freq"))
+    found = every.select(F.array("token").alias("tokens"), "pages", "bad")
+    if not 0 < bad < total or bad < (least := least_bad(bad / total, min_bad, chance)):
+        return _shares(found.limit(0)), frequent
+    good = is_rule(bad / total, min_bad, min_confidence, chance)
+    classes = sinks.materialize(
+        every.where((F.col("bad") >= least) & ~good)
+        .groupBy("pages", "bad", "_sign0", "_sign1")
+        .agg(F.array_sort(F.collect_list("token")).alias("_members"))
+        .select(F.col("_members")[0].alias("_token"), "_members")
+    )
+    # FP-growth keeps all frequent tokens on the driver and on each executor too
+    items = (
+        rows.select("_row", "bad", F.explode_outer("tokens").alias("_token"))
+        .join(F.broadcast(classes.select("_token", F.col("_token").alias("_item"))), "_token", "left")
+        .groupBy("_row", "bad")
+        .agg(F.collect_list("_item").alias("items"))
     )
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.array_contains("consequent", BAD)).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", "support", "lift"
+    baskets = items.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
+    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total).fit(baskets).freqItemsets
+    with_bad = F.array_contains("items", BAD)
+    combined = (
+        sets.groupBy(F.array_sort(F.array_remove("items", BAD)).alias("tokens"))
+        .agg(F.max(F.when(~with_bad, F.col("freq"))).alias("pages"), F.max(F.when(with_bad, F.col("freq"))).alias("bad"))
+        .where((F.size("tokens") > 1) & good)
     )
-    frequent = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    return rules.where("lift > 1"), frequent
+    few = shortest(combined, frequent)
+    members = (
+        few.select("tokens", "pages", "bad", F.explode("tokens").alias("_token"))
+        .join(classes, "_token")
+        .groupBy("tokens", "pages", "bad")
+        .agg(F.collect_list("_members").alias("_members"))
+    )
+    spread = F.aggregate(
+        "_members",
+        F.array(F.array().cast("array<string>")),
+        lambda sofar, ms: F.flatten(F.transform(sofar, lambda t: F.transform(ms, lambda m: F.array_append(t, m)))),
+    )
+    longer = members.select(F.explode(spread).alias("tokens"), "pages", "bad")
+    return _shares(found.where(good).union(longer.withColumn("tokens", F.array_sort("tokens")))), frequent
+
+
+def _shares(rules):
+    return rules.select("tokens", (F.col("bad") / F.col("pages")).alias("confidence"), "pages", "bad")
 
 
 def index(rules, frequent):
@@ -81,10 +165,10 @@ def index(rules, frequent):
     listed = rules.withColumn("_rule", F.concat_ws(" ", "tokens"))
     keyed = listed.select("_rule", F.explode("tokens").alias("token")).join(frequent, "token")
     rarest = keyed.groupBy("_rule").agg(F.min(F.struct("freq", "token")).alias("_key"))
-    return listed.join(rarest, "_rule").select(F.col("_key.token").alias("_token"), "tokens", "confidence", "_rule")
+    return listed.join(rarest, "_rule").withColumn("_token", F.col("_key.token")).drop("_key")
 
 
-def judge(pages, labels, id_col="page_id", url_col="url", rules=RULES, min_support=MIN_SUPPORT, min_confidence=MIN_CONFIDENCE):
+def judge(pages, labels, id_col="page_id", url_col="url", rules=RULES, min_bad=MIN_BAD, min_confidence=MIN_CONFIDENCE, chance=CHANCE):
     """id, host, path, rule, verdict, mined_rule and confidence of every page.
 
     ``labels`` has (key, bad): a page's key is the last number of its path. A fixed rule
@@ -104,7 +188,7 @@ def judge(pages, labels, id_col="page_id", url_col="url", rules=RULES, min_suppo
     )
     bad = labels.where("key is not null").groupBy("key").agg(F.max("bad").alias("bad"))
     labelled = rows.join(bad, F.col("_key") == F.col("key")).select(F.col("_tokens").alias("tokens"), "bad")
-    mined, frequent = mine(labelled, min_support, min_confidence)
+    mined, frequent = mine(labelled, min_bad, min_confidence, chance)
     # equal token sets are matched once; the number of sets is far below that of urls
     sets = rows.where("_fixed is null").select("_tokens").distinct()
     hits = (

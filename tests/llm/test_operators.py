@@ -1,6 +1,8 @@
 """Each operator against a brute-force version or an exact round trip, on odd and empty input."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import zlib
@@ -268,6 +270,51 @@ def test_url_mining(spark):
     assert {len(r.mined_rule.split()) > 1 for r in found if r.mined_rule} == {True}
 
 
+def rules_by_force(rows):
+    base = sum(b for _, b in rows) / len(rows)
+    seen, found = Counter(), {}
+    for tokens_, is_bad in rows:
+        for k in range(1, len(tokens_) + 1):
+            for some in itertools.combinations(sorted(tokens_), k):
+                seen[some, True] += is_bad
+                seen[some, False] += 1
+    for some in {s for s, _ in seen}:
+        c, n = seen[some, True], seen[some, False]
+        if c >= 5 and c / n >= 0.5 and c / n > base:
+            if c * math.log(c / n / base) + (c < n and (n - c) * math.log((n - c) / n / (1 - base))) >= math.log(1e6):
+                found[some] = (n, c)
+    return {s: v for s, v in found.items() if not any(set(o) < set(s) for o in found)}
+
+
+def test_url_rules_are_all_that_evidence_bears(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(900):
+        some = {t for t in "abcdef" if rng.random() < 0.3}
+        some |= {"twin" + t for t in some & {"a", "b"}}  # on the same pages
+        rows.append((sorted(some), rng.random() < (0.9 if {"a", "c"} <= some or "b" in some and "d" in some else 0.1)))
+    rows += [(["f", "spam"], True)] * 12
+    found, _ = urls.mine(spark.createDataFrame([*rows, (["a"], None)], "tokens array<string>, bad boolean"))
+    want = rules_by_force(rows)
+    assert ("spam",) in want and ("b", "d") in want and ("d", "twinb") in want
+    assert {tuple(r.tokens): (r.pages, r.bad) for r in found.collect()} == want
+
+
+def test_url_rules_need_the_same_evidence_at_every_size(spark):
+    def verdicts(good, spam):
+        n = good + spam
+        pages = spark.range(n).select(
+            F.col("id").alias("page_id"),
+            F.concat(F.lit("http://"), F.when(F.col("id") < spam, "tail.test").otherwise("good.net"), F.lit("/"), "id").alias("url"),
+        )
+        labels = spark.range(n).select(F.col("id").alias("key"), ((F.col("id") < spam) | (F.col("id") % 4 == 0)).alias("bad"))
+        return {r.verdict for r in urls.judge(pages, labels).where("host = 'tail.test'").select("verdict").distinct().collect()}
+
+    assert verdicts(30_000, 20) == {"block"}  # under a thousandth of the labelled pages
+    assert verdicts(100, 1) == {"allow"}  # one page proves nothing
+    assert verdicts(100, 20) == {"block"}
+
+
 # --- 7
 
 
