@@ -71,15 +71,15 @@ def stretches(data, length):
     return start, n, block, grams[at], left, right
 
 
-def _spans(doc, start, end, kind, bucket=0):
-    return pd.DataFrame({"_doc": doc, "_from": start, "_to": end, "_kind": kind, "_bucket": bucket})
+def _spans(doc, key, start, end, kind, bucket=0):
+    return pd.DataFrame({"_doc": doc, "_key": key, "_from": start, "_to": end, "_kind": kind, "_bucket": bucket})
 
 
-def _cover(doc, start, end):
+def _cover(doc, key, start, end):
     """Covered spans, those that overlap joined; they come sorted within each document."""
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > end[:-1]) | (start[1:] < start[:-1])
-    return _spans(doc[new], start[new], end[np.r_[new[1:], True]] if len(doc) else end, COVER)
+    new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (start[1:] > end[:-1]) | (start[1:] < start[:-1])
+    return _spans(doc[new], key[new], start[new], end[np.r_[new[1:], True]] if len(doc) else end, COVER)
 
 
 def _settle(block, bucket, doc):
@@ -127,18 +127,18 @@ def _hot(block, bucket, most):
 def _send(rows, parts, length, hot_above=None):
     """Settle the entries of one batch; its spans, and one parcel per part.
 
-    rows: (doc id, start, n, block, bucket, left, right) arrays of each document.
+    rows: (doc id, text key, start, n, block, bucket, left, right) arrays of each document.
     """
-    ids = np.array([r[0] for r in rows], dtype=np.int64)
-    doc = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    at, n, block, bucket, left, right = (np.concatenate([r[i] for r in rows]) for i in range(1, 7))
+    ids, keys = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(2))
+    doc = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+    at, n, block, bucket, left, right = (np.concatenate([r[i] for r in rows]) for i in range(2, 8))
     settled = _settle(block, bucket, ids[doc])
-    spans = [_cover(ids[doc[settled]], at[settled], at[settled] + n[settled] - 1 + length)]
+    spans = [_cover(ids[doc[settled]], keys[doc[settled]], at[settled], at[settled] + n[settled] - 1 + length)]
     keep = np.flatnonzero(~settled)
     if hot_above is not None:
         hot = keep[_hot(block[keep], bucket[keep], hot_above)]
         if len(hot):
-            spans.append(_spans(ids[doc[hot]], at[hot], at[hot] + n[hot] - 1 + length, WINDOWS))
+            spans.append(_spans(ids[doc[hot]], keys[doc[hot]], at[hot], at[hot] + n[hot] - 1 + length, WINDOWS))
             marks = hot[np.unique(bucket[hot], return_index=True)[1]]
             n = n.copy()
             n[marks] = 0  # a mark
@@ -156,49 +156,62 @@ def _send(rows, parts, length, hot_above=None):
     for p, e in zip(part[np.r_[0, cuts]] if len(part) else [], np.split(entry, cuts)):
         own, place = np.unique(e["doc"], return_inverse=True)
         e["doc"] = place
-        parcels.append((int(p), ids[own].tobytes(), b"".join(np.ascontiguousarray(e[f]).tobytes() for f in FIELDS), b""))
+        data = b"".join(np.ascontiguousarray(e[f]).tobytes() for f in FIELDS)
+        parcels.append((int(p), ids[own].tobytes(), _packed_keys(keys[own]), data, b""))
     return pd.concat(spans), parcels
 
 
+def _packed_keys(keys):
+    """Nothing where all keys are 0, as they are where ids are unique."""
+    return keys.tobytes() if keys.any() else b""
+
+
+def _unpacked(ids, keys):
+    ids = np.frombuffer(ids, np.int64)
+    return ids, np.frombuffer(keys, np.int64) if keys else np.zeros(len(ids), np.int64)
+
+
 def _receive(frames):
-    """Entries of many parcels, with document ids."""
-    columns = {f: [] for f in FIELDS}
-    for ids, data in frames:
-        ids, n, at = np.frombuffer(ids, np.int64), len(data) // ENTRY.itemsize, 0
+    """Entries of many parcels; ``doc`` is a place in the ids and text keys, which follow."""
+    columns, owners, before = {f: [] for f in FIELDS}, [], 0
+    for ids, keys, data in frames:
+        owners.append(_unpacked(ids, keys))
+        n, at = len(data) // ENTRY.itemsize, 0
         for f in FIELDS:
             kind = ENTRY[f]
             column = np.frombuffer(data, kind, n, at)
             at += n * kind.itemsize
-            columns[f].append(ids[column] if f == "doc" else column)
+            columns[f].append(column + np.uint32(before) if f == "doc" else column)
+        before += len(owners[-1][0])
     out = {f: np.concatenate(c) for f, c in columns.items()}
     wide = np.zeros((len(out["block"]), 8), "u1")
     wide[:, :6] = out["block"].view("u1").reshape(-1, 6)
     out["block"] = wide.view("<u8").ravel()
-    return out
+    return out, *(np.concatenate(c) for c in zip(*owners))
 
 
-SPAN = "_doc long, _from long, _to long, _kind int, _bucket long"
-SPAN_NAMES = ["_doc", "_from", "_to", "_kind", "_bucket"]
-PARCEL = f"_part int, _ids binary, _data binary, _raw binary, {SPAN}"
-PARCEL_NAMES = ["_part", "_ids", "_data", "_raw", *SPAN_NAMES]
+SPAN = "_doc long, _key long, _from long, _to long, _kind int, _bucket long"
+SPAN_NAMES = ["_doc", "_key", "_from", "_to", "_kind", "_bucket"]
+PARCEL = f"_part int, _ids binary, _keys binary, _data binary, _raw binary, {SPAN}"
+PARCEL_NAMES = ["_part", "_ids", "_keys", "_data", "_raw", *SPAN_NAMES]
 
 
 def _out(spans, parcels):
     if parcels:
         numbers = {c: "Int64" for c in SPAN_NAMES}
-        yield pd.DataFrame([(*p, *[None] * 5) for p in parcels], columns=PARCEL_NAMES).astype(numbers)
+        yield pd.DataFrame([(*p, *[None] * len(SPAN_NAMES)) for p in parcels], columns=PARCEL_NAMES).astype(numbers)
     if len(spans):  # dealt out too, but nothing is done with them there
-        yield spans.assign(_part=spans["_doc"] % 1009, _ids=None, _data=None, _raw=None)[PARCEL_NAMES]
+        yield spans.assign(_part=spans["_doc"] % 1009, _ids=None, _keys=None, _data=None, _raw=None)[PARCEL_NAMES]
 
 
 def _first(length, parts, hot):
     def run(batches):
         for batch in batches:
             rows = []
-            for i, text in zip(batch["_doc"], batch["_text"]):
+            for i, key, text in zip(batch["_doc"], batch["_key"], batch["_text"]):
                 data = as_bytes(text)
                 if len(data) >= length:
-                    rows.append((i, *stretches(data, length)))
+                    rows.append((i, key, *stretches(data, length)))
             if rows:
                 yield from _out(*_send(rows, parts, length, hot))
 
@@ -211,13 +224,13 @@ def _windows(length, parts):
     def run(batches):
         for batch in batches:
             rows = []
-            for i, text, spans in zip(batch["_doc"], batch["_text"], batch["_spans"]):
+            for i, key, text, spans in zip(batch["_doc"], batch["_key"], batch["_text"], batch["_spans"]):
                 spans = [s for s in spans if s["_kind"] == WINDOWS]
                 if spans:
                     at = np.concatenate([np.arange(s["_from"], s["_to"] - length + 1) for s in spans])
                     window = spans_hash(prefix_sums(as_bytes(text), EXACT), at, at + length)
                     none = np.zeros(len(at), U64)
-                    rows.append((i, at, np.ones(len(at), np.int64), window, mix(window), none, none))
+                    rows.append((i, key, at, np.ones(len(at), np.int64), window, mix(window), none, none))
             if rows:
                 yield from _out(*_send(rows, parts, length))
 
@@ -233,19 +246,20 @@ def _regions(parts):
     def run(batches):
         for batch in batches:
             found = {}
-            for i, text, spans in zip(batch["_doc"], batch["_text"], batch["_spans"]):
+            for i, key, text, spans in zip(batch["_doc"], batch["_key"], batch["_text"], batch["_spans"]):
                 spans = [s for s in spans if s["_kind"] == REGION]
                 data = as_bytes(text).tobytes() if spans else b""
                 for s in spans:
-                    heads, ids, raw = found.setdefault(s["_bucket"] % parts, ([], [], []))
+                    heads, ids, keys, raw = found.setdefault(s["_bucket"] % parts, ([], [], [], []))
                     heads.append((s["_bucket"], len(ids), s["_from"], s["_to"] - s["_from"]))
                     ids.append(i)
+                    keys.append(key)
                     raw.append(data[s["_from"] : s["_to"]])
             parcels = [
-                (p, np.array(ids, np.int64).tobytes(), np.array(heads, HEAD).tobytes(), b"".join(raw))
-                for p, (heads, ids, raw) in found.items()
+                (p, np.array(ids, np.int64).tobytes(), _packed_keys(np.array(keys, np.int64)), np.array(heads, HEAD).tobytes(), b"".join(raw))
+                for p, (heads, ids, keys, raw) in found.items()
             ]
-            yield from _out(_spans([], [], [], COVER), parcels)
+            yield from _out(_spans([], [], [], [], COVER), parcels)
 
     return run
 
@@ -259,21 +273,22 @@ def _meet(length):
             done = batch["_data"].isna()
             if done.any():
                 yield batch.loc[done, SPAN_NAMES]
-            parcels += list(zip(batch["_ids"][~done], batch["_data"][~done]))
+            parcels += list(zip(batch["_ids"][~done], batch["_keys"][~done], batch["_data"][~done]))
         if not parcels:
             return
-        e = _receive(parcels)
+        e, ids, keys = _receive(parcels)
         mark = e["n"] == 0
         hot = np.isin(e["bucket"], np.unique(e["bucket"][mark]))
         e = {f: v[~mark] for f, v in e.items()}
         hot = hot[~mark]
-        settled = _settle(e["block"], e["bucket"], e["doc"])
+        settled = _settle(e["block"], e["bucket"], ids[e["doc"]])
         rest = np.flatnonzero(~settled & ~hot)
         rest = rest[_open(e["block"][rest], e["bucket"][rest], e["left"][rest], e["right"][rest])]
         for found, kind in ((settled, COVER), (rest, REGION), (~settled & hot, WINDOWS)):
             at = e["at"][found].astype(np.int64)
             end = at + e["n"][found] - 1 + length
-            yield _spans(e["doc"][found], at, end, kind, e["bucket"][found].astype(np.int64))
+            doc = e["doc"][found]
+            yield _spans(ids[doc], keys[doc], at, end, kind, e["bucket"][found].astype(np.int64))
 
     return run
 
@@ -282,16 +297,17 @@ def _meet_regions(length):
     """All windows of the regions of a bucket against each other, some buckets at a time."""
 
     def run(batches):
-        heads, docs, raws = [], [], []
+        heads, docs, keys, raws = [], [], [], []
         for batch in batches:
-            for ids, data, raw in zip(batch["_ids"], batch["_data"], batch["_raw"]):
-                head = np.frombuffer(data, HEAD)
+            for i, k, data, raw in zip(batch["_ids"], batch["_keys"], batch["_data"], batch["_raw"]):
+                head, (i, k) = np.frombuffer(data, HEAD), _unpacked(i, k)
                 heads.append(head)
-                docs.append(np.frombuffer(ids, np.int64)[head["doc"]])
+                docs.append(i[head["doc"]])
+                keys.append(k[head["doc"]])
                 raws.append(np.frombuffer(raw, np.uint8))
         if not heads:
             return
-        head, doc, raw = np.concatenate(heads), np.concatenate(docs), np.concatenate(raws)
+        head, doc, key, raw = (np.concatenate(c) for c in (heads, docs, keys, raws))
         size = head["size"].astype(np.int64)
         begin = np.cumsum(size) - size
         order = np.argsort(head["bucket"], kind="stable")
@@ -309,7 +325,7 @@ def _meet_regions(length):
             window = spans_hash(prefix_sums(data, EXACT), at, at + length)
             settled = _settle(window, head["bucket"][some][own], doc[some][own])
             place = (head["at"][some].astype(np.int64)[own] + inside)[settled]
-            yield _cover(doc[some][own][settled], place, place + length)
+            yield _cover(doc[some][own][settled], key[some][own][settled], place, place + length)
 
     return run
 
@@ -336,11 +352,23 @@ def _cut(batches):
             np.add.at(edges, e, -1)
             kept = data[np.cumsum(edges[:-1]) == 0].tobytes()
             rows.append((len(data), len(data) - len(kept), s.tolist(), e.tolist(), hashlib.sha256(kept).hexdigest(), kept, kept.decode("utf-8", "ignore")))
-        out = batch.drop(columns=["_text", "_starts", "_ends", "_doc"])
+        out = batch.drop(columns=["_text", "_starts", "_ends", "_doc", "_key"])
         names = ["n_bytes", "n_removed", "starts", "ends", "kept_sha256", "kept", "kept_text"]
         yield out.assign(**{n: [r[i] for r in rows] for i, n in enumerate(names)})
 
 
+def _keyed(texts):
+    """Rows (_doc, _text) with ``_key``: a hash of the text where an id has several texts, else 0."""
+    key = F.xxhash64("_text")
+    several = sinks.materialize(
+        texts.where("_doc is not null").groupBy("_doc").agg(F.min(key).alias("a"), F.max(key).alias("b")).where("a < b").select("_doc")
+    )
+    if several.isEmpty():
+        return texts.withColumn("_key", F.lit(0).cast("long"))
+    found = texts.join(several.withColumn("_several", F.lit(True)), "_doc", "left")
+    return found.withColumn("_key", F.when(F.col("_several"), key).otherwise(F.lit(0).cast("long"))).drop("_several")
+
+
 def dedup(docs, length=50, id_col="doc_id", text_col="text", keep=(), hot=HOT):
     """What is left of every text without the bytes that repeat an earlier document.
 
@@ -352,36 +380,35 @@ def dedup(docs, length=50, id_col="doc_id", text_col="text", keep=(), hot=HOT):
 
     A null text counts as empty. A text under ``length`` bytes loses nothing. Ids are
     integers; a row without one loses nothing and takes nothing from others. Rows of
-    one id are one document: they take nothing from each other. One row per row.
+    one id are one document, whatever their texts: they take nothing from each other.
+    One row per row.
     """
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("_doc"), text.alias("_text"))
-    some = texts.where(F.col("_doc").isNotNull() & (F.octet_length("_text") >= length))
+    extra = [c for c in keep if c not in (id_col, text_col)]
+    texts = _keyed(docs.select(F.col(id_col), F.col(id_col).cast("long").alias("_doc"), text.alias("_text"), *extra))
+    some = texts.select("_doc", "_key", "_text").where(F.col("_doc").isNotNull() & (F.octet_length("_text") >= length))
     met = sinks.materialize(
         some.mapInPandas(_first(length, parts, hot), PARCEL).repartition("_part").mapInPandas(_meet(length), SPAN)
     )
     opened = (
         met.where(F.col("_kind") != COVER)
-        .groupBy("_doc")
+        .groupBy("_doc", "_key")
         .agg(F.array_sort(F.collect_list(F.struct("_from", "_to", "_kind", "_bucket"))).alias("_spans"))
     )
-    opened = some.join(opened, "_doc")
+    opened = some.join(opened, ["_doc", "_key"])
     windows = opened.mapInPandas(_windows(length, parts), PARCEL).repartition("_part").mapInPandas(_meet(length), SPAN)
     regions = opened.mapInPandas(_regions(parts), PARCEL).repartition("_part").mapInPandas(_meet_regions(length), SPAN)
     covered = (
         met.union(windows)
         .where(F.col("_kind") == COVER)
         .union(regions)
-        .groupBy("_doc")
+        .groupBy("_doc", "_key")
         .agg(F.array_sort(F.collect_list(F.struct("_from", "_to"))).alias("_s"))
-        .select("_doc", F.col("_s._from").alias("_starts"), F.col("_s._to").alias("_ends"))
+        .select("_doc", "_key", F.col("_s._from").alias("_starts"), F.col("_s._to").alias("_ends"))
     )
     kind = docs.schema[id_col].dataType.simpleString()
-    extra = [c for c in keep if c not in (id_col, text_col)]
-    rows = docs.select(
-        F.col(id_col), F.col(id_col).cast("long").alias("_doc"), text.alias("_text"), *extra
-    ).join(covered, "_doc", "left")
+    rows = texts.join(covered, ["_doc", "_key"], "left")
     schema = ", ".join(
         [f"`{id_col}` {kind}", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)]
         + ["n_bytes long, n_removed long, starts array<long>, ends array<long>, kept_sha256 string, kept binary, kept_text string"]

@@ -376,6 +376,19 @@ def test_suffix_dedup(docs, corpus, nothing, hot):
     assert suffixes.dedup(nothing).collect() == []
 
 
+@pytest.mark.parametrize("hot", [1, 32])
+def test_suffix_dedup_of_one_id_with_several_texts(spark, hot):
+    rng = random.Random(3)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, other = prose(120), prose(90)
+    rows = [(1, prose(30) + passage + prose(40)), (1, other), (2, prose(400) + passage + prose(60)), (2, prose(200)), (2, prose(70))]
+    rows += [(2, other[:70]), (2, rows[2][1]), (3, prose(100) + passage[20:] + other), (3, passage), (4, prose(300) + other)]
+    want = dedup_by_force(rows, 50)
+    assert sum(r[2] > 0 for r in want) == 5 and sum(r[0] == 2 and r[2] == 0 for r in want) == 2
+    found = suffixes.dedup(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.starts), r.kept_sha256) for r in found) == want
+
+
 # --- 9
 
 
