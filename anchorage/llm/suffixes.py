@@ -72,14 +72,21 @@ def stretches(data, length):
 
 
 def _spans(doc, key, start, end, kind, bucket=0):
-    return pd.DataFrame({"_doc": doc, "_key": key, "_from": start, "_to": end, "_kind": kind, "_bucket": bucket})
+    """Spans of documents; no text keys are all 0."""
+    return pd.DataFrame({"_doc": doc, "_key": 0 if key is None else key, "_from": start, "_to": end, "_kind": kind, "_bucket": bucket})
+
+
+def _at(key, place):
+    return None if key is None else key[place]
 
 
 def _cover(doc, key, start, end):
     """Covered spans, those that overlap joined; they come sorted within each document."""
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (start[1:] > end[:-1]) | (start[1:] < start[:-1])
-    return _spans(doc[new], key[new], start[new], end[np.r_[new[1:], True]] if len(doc) else end, COVER)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > end[:-1]) | (start[1:] < start[:-1])
+    if key is not None:
+        new[1:] |= key[1:] != key[:-1]
+    return _spans(doc[new], _at(key, new), start[new], end[np.r_[new[1:], True]] if len(doc) else end, COVER)
 
 
 def _settle(block, bucket, doc):
@@ -130,15 +137,16 @@ def _send(rows, parts, length, hot_above=None):
     rows: (doc id, text key, start, n, block, bucket, left, right) arrays of each document.
     """
     ids, keys = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(2))
+    keys = keys if keys.any() else None
     doc = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
     at, n, block, bucket, left, right = (np.concatenate([r[i] for r in rows]) for i in range(2, 8))
     settled = _settle(block, bucket, ids[doc])
-    spans = [_cover(ids[doc[settled]], keys[doc[settled]], at[settled], at[settled] + n[settled] - 1 + length)]
+    spans = [_cover(ids[doc[settled]], _at(keys, doc[settled]), at[settled], at[settled] + n[settled] - 1 + length)]
     keep = np.flatnonzero(~settled)
     if hot_above is not None:
         hot = keep[_hot(block[keep], bucket[keep], hot_above)]
         if len(hot):
-            spans.append(_spans(ids[doc[hot]], keys[doc[hot]], at[hot], at[hot] + n[hot] - 1 + length, WINDOWS))
+            spans.append(_spans(ids[doc[hot]], _at(keys, doc[hot]), at[hot], at[hot] + n[hot] - 1 + length, WINDOWS))
             marks = hot[np.unique(bucket[hot], return_index=True)[1]]
             n = n.copy()
             n[marks] = 0  # a mark
@@ -157,37 +165,40 @@ def _send(rows, parts, length, hot_above=None):
         own, place = np.unique(e["doc"], return_inverse=True)
         e["doc"] = place
         data = b"".join(np.ascontiguousarray(e[f]).tobytes() for f in FIELDS)
-        parcels.append((int(p), ids[own].tobytes(), _packed_keys(keys[own]), data, b""))
+        parcels.append((int(p), ids[own].tobytes(), _packed_keys(_at(keys, own)), data, b""))
     return pd.concat(spans), parcels
 
 
-def _packed_keys(keys):
+def _packed_keys(key):
     """Nothing where all keys are 0, as they are where ids are unique."""
-    return keys.tobytes() if keys.any() else b""
+    return b"" if key is None or not key.any() else key.tobytes()
 
 
-def _unpacked(ids, keys):
-    ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(keys, np.int64) if keys else np.zeros(len(ids), np.int64)
+def _keys_of(packed, places):
+    """The text key at each of the places in each parcel, or none if all are 0."""
+    if not any(packed):
+        return None
+    return np.concatenate([np.frombuffer(k, np.int64)[i] if k else np.zeros(len(i), np.int64) for k, i in zip(packed, places)])
 
 
 def _receive(frames):
-    """Entries of many parcels; ``doc`` is a place in the ids and text keys, which follow."""
-    columns, owners, before = {f: [] for f in FIELDS}, [], 0
-    for ids, keys, data in frames:
-        owners.append(_unpacked(ids, keys))
-        n, at = len(data) // ENTRY.itemsize, 0
+    """Entries of many parcels, with document ids, and their text keys."""
+    columns, places = {f: [] for f in FIELDS}, []
+    for ids, _, data in frames:
+        ids, n, at = np.frombuffer(ids, np.int64), len(data) // ENTRY.itemsize, 0
         for f in FIELDS:
             kind = ENTRY[f]
             column = np.frombuffer(data, kind, n, at)
             at += n * kind.itemsize
-            columns[f].append(column + np.uint32(before) if f == "doc" else column)
-        before += len(owners[-1][0])
+            columns[f].append(ids[column] if f == "doc" else column)
+            if f == "doc":
+                places.append(column)
+    key = _keys_of([k for _, k, _ in frames], places)
     out = {f: np.concatenate(c) for f, c in columns.items()}
     wide = np.zeros((len(out["block"]), 8), "u1")
     wide[:, :6] = out["block"].view("u1").reshape(-1, 6)
     out["block"] = wide.view("<u8").ravel()
-    return out, *(np.concatenate(c) for c in zip(*owners))
+    return out, key
 
 
 SPAN = "_doc long, _key long, _from long, _to long, _kind int, _bucket long"
@@ -276,19 +287,18 @@ def _meet(length):
             parcels += list(zip(batch["_ids"][~done], batch["_keys"][~done], batch["_data"][~done]))
         if not parcels:
             return
-        e, ids, keys = _receive(parcels)
+        e, key = _receive(parcels)
         mark = e["n"] == 0
         hot = np.isin(e["bucket"], np.unique(e["bucket"][mark]))
         e = {f: v[~mark] for f, v in e.items()}
-        hot = hot[~mark]
-        settled = _settle(e["block"], e["bucket"], ids[e["doc"]])
+        hot, key = hot[~mark], _at(key, ~mark)
+        settled = _settle(e["block"], e["bucket"], e["doc"])
         rest = np.flatnonzero(~settled & ~hot)
         rest = rest[_open(e["block"][rest], e["bucket"][rest], e["left"][rest], e["right"][rest])]
         for found, kind in ((settled, COVER), (rest, REGION), (~settled & hot, WINDOWS)):
             at = e["at"][found].astype(np.int64)
             end = at + e["n"][found] - 1 + length
-            doc = e["doc"][found]
-            yield _spans(ids[doc], keys[doc], at, end, kind, e["bucket"][found].astype(np.int64))
+            yield _spans(e["doc"][found], _at(key, found), at, end, kind, e["bucket"][found].astype(np.int64))
 
     return run
 
@@ -297,17 +307,18 @@ def _meet_regions(length):
     """All windows of the regions of a bucket against each other, some buckets at a time."""
 
     def run(batches):
-        heads, docs, keys, raws = [], [], [], []
+        heads, docs, packed, raws = [], [], [], []
         for batch in batches:
             for i, k, data, raw in zip(batch["_ids"], batch["_keys"], batch["_data"], batch["_raw"]):
-                head, (i, k) = np.frombuffer(data, HEAD), _unpacked(i, k)
+                head = np.frombuffer(data, HEAD)
                 heads.append(head)
-                docs.append(i[head["doc"]])
-                keys.append(k[head["doc"]])
+                docs.append(np.frombuffer(i, np.int64)[head["doc"]])
+                packed.append(k)
                 raws.append(np.frombuffer(raw, np.uint8))
         if not heads:
             return
-        head, doc, key, raw = (np.concatenate(c) for c in (heads, docs, keys, raws))
+        key = _keys_of(packed, [h["doc"] for h in heads])
+        head, doc, raw = np.concatenate(heads), np.concatenate(docs), np.concatenate(raws)
         size = head["size"].astype(np.int64)
         begin = np.cumsum(size) - size
         order = np.argsort(head["bucket"], kind="stable")
@@ -325,7 +336,7 @@ def _meet_regions(length):
             window = spans_hash(prefix_sums(data, EXACT), at, at + length)
             settled = _settle(window, head["bucket"][some][own], doc[some][own])
             place = (head["at"][some].astype(np.int64)[own] + inside)[settled]
-            yield _cover(doc[some][own][settled], key[some][own][settled], place, place + length)
+            yield _cover(doc[some][own][settled], _at(_at(key, some), own[settled]), place, place + length)
 
     return run
 
