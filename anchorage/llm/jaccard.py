@@ -23,6 +23,7 @@ from anchorage.sources import sinks
 # 32 bands of 4 values: a pair at 0.8 meets in no band once in 2 * 10**7 pairs
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
+MISSED = 1e-6  # the most pairs at the threshold that may meet in no band
 # a block holds this many texts, or texts of this many shingles, on average
 BLOCK_TEXTS, BLOCK_SHINGLES = 512, 1 << 20
 
@@ -40,6 +41,13 @@ def minhash(keys):
     return (out >> U64(32)).astype(np.uint32)
 
 
+def require_bands(threshold):
+    """Stops at a threshold whose pairs the bands would lose too often."""
+    missed = (1 - threshold**ROWS) ** BANDS
+    if missed > MISSED:
+        raise ValueError(f"at threshold {threshold}, {missed:.1e} of the pairs meet in no band; {MISSED:.0e} may")
+
+
 def least_matches(threshold, tolerance, step):
     """For each number of compared values, the fewest matches that keep a pair.
 
@@ -236,7 +244,10 @@ def join(docs, id_col="doc_id", text_col="text", n=5, threshold=0.8, tolerance=1
     words is one shingle. A row without id takes no part and gets nulls and no links.
     An id that comes with several texts is one document, in one class per text; its
     rows carry the smallest of these classes. Other columns are ignored.
+
+    A threshold at which more than MISSED of the pairs would meet in no band is an error.
     """
+    require_bands(threshold)
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     known = docs.where("_id is not null and _text is not null")
     id_type = docs.schema["_id"].dataType.simpleString()

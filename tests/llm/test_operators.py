@@ -62,6 +62,13 @@ def test_jaccard_join(docs, corpus, nothing, monkeypatch):
     assert jaccard.join(nothing).collect() == []
 
 
+def test_jaccard_refuses_thresholds_that_the_bands_miss(docs):
+    for threshold in (0.5, 0.7):
+        with pytest.raises(ValueError, match="meet in no band"):
+            jaccard.join(docs, threshold=threshold)
+    jaccard.require_bands(0.8)
+
+
 def test_pruning_keeps_true_pairs_and_drops_others():
     plan = jaccard.least_matches(0.8, 1e-6, 16)
     assert [n for n, _ in plan] == list(range(16, 129, 16))
