@@ -1,8 +1,20 @@
-"""The registered queries of the ten operators, and the SQL of those that SQL can express."""
+"""The registered queries of the operators."""
 
 from pyspark.sql import functions as F
 
-from anchorage.llm import jaccard, langid, licenses, packing, quality, sentences, sketches, suffixes, tokens, urls
+from anchorage.llm import (
+    jaccard,
+    langid,
+    licenses,
+    merkle,
+    packing,
+    quality,
+    sentences,
+    sketches,
+    suffixes,
+    tokens,
+    urls,
+)
 
 
 def _read(spark, sf_dir, table):
@@ -103,6 +115,27 @@ def license_scans(spark, sf_dir):
     return licenses.scan(_read(spark, sf_dir, "documents")).drop("spans")
 
 
+def merkle_manifest(spark, sf_dir):
+    """Proofs of all documents against the root, some of them tampered with."""
+    docs = _read(spark, sf_dir, "documents")
+    row = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.digest(*row, F.col("text"))
+    folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claim = F.when(tampered, merkle.digest(*row, folded)).otherwise(leaf)
+    leaves = docs.select("doc_id", "lang", leaf.alias("leaf"), claim.alias("claim"))
+    manifest = merkle.build(leaves, F.col("leaf"), "lang", ["doc_id"], keep=["doc_id", "claim"])
+    return merkle.prove(manifest).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.fold(F.col("claim"), F.col("path")).alias("folded_root"),
+        (merkle.fold(F.col("claim"), F.col("path")) == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard_join,
     "op2_token_counts": token_counts,
@@ -114,4 +147,5 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup,
     "op9_document_fingerprints": fingerprints,
     "op10_license_scans": license_scans,
+    "op11_merkle_manifest": merkle_manifest,
 }

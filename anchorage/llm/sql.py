@@ -145,9 +145,74 @@ select doc_id, n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigin
 from x left join b using (doc_id)
 """
 
+
+
+def _crc32(x):
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    step = "lambda y, k: xor(y >> 1, 3988292384 * (y & 1))"
+    chars = f"list_transform(range(1, length({x}) + 1), lambda i: ascii(({x})[i])::bigint)"
+    taken = f"list_reduce(list_prepend(xor(c, x), range(8)), {step})"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {chars}), lambda c, x: {taken}), 4294967295)"
+
+
+def _field(x):
+    return f"coalesce(strlen(({x})::varchar) || ':' || ({x})::varchar, '-')"
+
+
+def _digest(text):
+    return f"sha256({' || '.join(map(_field, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
+def _tree(leaves):
+    return f"""
+    select g, 0 as level, i, h, count(*) over (partition by g) as n from {leaves}
+    union all
+    select g, level + 1, i // 8, sha256(string_agg(h, '' order by i)), (n + 7) // 8
+    from {{}} where n > 1 group by g, level, i // 8, n
+    """
+
+
+MERKLE = f"""
+with recursive d as materialized (
+    select doc_id, lang as g, {_digest("text")} as h, case when {_crc32("doc_id::varchar")} % 3 = 0
+        then {_digest(f"translate(text, '{UPPER}', '{LOWER}')")} else {_digest("text")} end as claim
+    from documents
+),
+l as materialized (select *, row_number() over (partition by g order by doc_id nulls first, h) - 1 as i from d),
+t(g, level, i, h, n) as ({_tree("l").format("t")}),
+s as materialized (
+    select 0 as g, g as lang, h, row_number() over (order by g nulls first) - 1 as i from t where n = 1
+),
+u(g, level, i, h, n) as ({_tree("s").format("u")}),
+steps as (
+    select l.g, l.i as leaf, 0 as tree, t.level, t.i, t.h, l.i >> (3 * t.level) as own
+    from l join t on t.g is not distinct from l.g and t.n > 1 and t.i // 8 = l.i >> (3 * t.level + 3)
+    union all
+    select s.lang, l.i, 1, u.level, u.i, u.h, s.i >> (3 * u.level)
+    from s join l on l.g is not distinct from s.lang join u on u.n > 1 and u.i // 8 = s.i >> (3 * u.level + 3)
+),
+runs as (
+    select g, leaf, tree, level, coalesce(string_agg(h, '' order by i) filter (i < own), '') as a,
+        coalesce(string_agg(h, '' order by i) filter (i > own), '') as b
+    from steps group by g, leaf, tree, level
+),
+p as (
+    select g, leaf, string_agg(a || b, '' order by tree, level) as siblings, list(a || '|' || b order by tree, level) as path
+    from runs group by g, leaf
+),
+f as (
+    select l.doc_id, l.h as leaf, s.h as subroot, (select h from u where n = 1) as root,
+        sha256(coalesce(siblings, '')) as proof_sha256, list_reduce(list_prepend(claim, coalesce(path, [])),
+            lambda own, x: sha256(split_part(x, '|', 1) || own || split_part(x, '|', 2))) as folded_root
+    from l join s on s.lang is not distinct from l.g left join p on p.g is not distinct from l.g and p.leaf = l.i
+)
+select *, folded_root = root as verified from f
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": JACCARD,
     "op4_quality_rules": QUALITY,
     "op8_suffix_dedup": SUFFIXES,
     "op10_license_scans": LICENSES,
+    "op11_merkle_manifest": MERKLE,
 }
