@@ -13,8 +13,10 @@ from anchorage.llm import (
     sketches,
     suffixes,
     tokens,
+    tries,
     urls,
 )
+from anchorage.sources import sinks
 
 
 def _read(spark, sf_dir, table):
@@ -136,6 +138,14 @@ def merkle_manifest(spark, sf_dir):
     )
 
 
+def conversation_trie(spark, sf_dir):
+    """The prefix trie of conversations that share up to five first turns by the hundred."""
+    own = tries.paths(_read(spark, sf_dir, "conversations"))
+    base = F.col("_c") - F.col("_c") % 100
+    shared = F.crc32(F.col("_c").cast("string").cast("binary")) % 6
+    return tries.trie(tries.rebuilt(sinks.materialize(own), base, shared, most=5))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard_join,
     "op2_token_counts": token_counts,
@@ -148,4 +158,5 @@ QUERIES = {
     "op9_document_fingerprints": fingerprints,
     "op10_license_scans": license_scans,
     "op11_merkle_manifest": merkle_manifest,
+    "op12_conversation_trie": conversation_trie,
 }

@@ -209,10 +209,41 @@ f as (
 select *, folded_root = root as verified from f
 """
 
+TRIE = f"""
+with o as materialized (
+    select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as i,
+        {{'r': coalesce(role, ''), 't': coalesce(text, '')}} as x
+    from conversations where conv_id is not null
+),
+own as (select c, list(x order by i) as x from o group by c),
+h as (select *, c - c % 100 as base, {_crc32("c::varchar")} % 6 as h from own),
+p as materialized (
+    select h.c, list_concat(coalesce(b.x[1:h.h], []), h.x[h.h + 1:]) as x from h left join own b on b.c = h.base
+),
+m as (select c, d, x[1:d] as x, len(x) = d as ended from (select c, x, unnest(range(0, len(x) + 1)) as d from p)),
+n as materialized (
+    select d, x, min(c) as conv_id, count(*) as n_convs, string_agg(c::varchar, ',' order by c) filter (ended) as ends
+    from m group by d, x
+),
+k as (select d - 1 as d, x[1:d - 1] as x, count(*) as n_children from n where d > 0 group by all),
+v as (
+    select n.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * coalesce(length(n.x[n.d].t), 0) as own
+    from n left join k on k.d = n.d and k.x = n.x
+),
+s as (
+    select a as d, x[1:a] as x, count(*) filter (n_children = 0) as n_leaves, sum(own)::bigint as saved_tokens
+    from (select *, unnest(range(0, d + 1)) as a from v) group by all
+)
+select v.conv_id, v.d as depth, up.conv_id as parent_conv_id, v.n_convs, v.n_children::bigint as n_children, s.n_leaves,
+    s.saved_tokens, sha256(coalesce(v.ends, '')) as ends_sha256
+from v join s on s.d = v.d and s.x = v.x left join n up on v.d > 0 and up.d = v.d - 1 and up.x = v.x[1:v.d - 1]
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": JACCARD,
     "op4_quality_rules": QUALITY,
     "op8_suffix_dedup": SUFFIXES,
     "op10_license_scans": LICENSES,
     "op11_merkle_manifest": MERKLE,
+    "op12_conversation_trie": TRIE,
 }
