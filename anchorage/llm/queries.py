@@ -15,6 +15,7 @@ from anchorage.llm import (
     tokens,
     tries,
     urls,
+    windows,
 )
 from anchorage.sources import sinks
 
@@ -146,6 +147,12 @@ def conversation_trie(spark, sf_dir):
     return tries.trie(tries.rebuilt(sinks.materialize(own), base, shared, most=5))
 
 
+def substring_dedup(spark, sf_dir):
+    """What is there earlier too, in windows of 20 words."""
+    found = windows.dedup(_read(spark, sf_dir, "documents"), length=20)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("starts").cast("long").alias("n_spans"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard_join,
     "op2_token_counts": token_counts,
@@ -159,4 +166,5 @@ QUERIES = {
     "op10_license_scans": license_scans,
     "op11_merkle_manifest": merkle_manifest,
     "op12_conversation_trie": conversation_trie,
+    "op13_substring_dedup": substring_dedup,
 }

@@ -239,6 +239,26 @@ select v.conv_id, v.d as depth, up.conv_id as parent_conv_id, v.n_convs, v.n_chi
 from v join s on s.d = v.d and s.x = v.x left join n up on v.d > 0 and up.d = v.d - 1 and up.x = v.x[1:v.d - 1]
 """
 
+WINDOWS = r"""
+with w as materialized (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+),
+i as (select doc_id, w, unnest(range(1, len(w) - 18)) as i from w where len(w) >= 20),
+x as (
+    select doc_id, i, row_number() over (partition by w[i:i + 19] order by doc_id, i) as n from i
+),
+gone as (select distinct doc_id, i from (select doc_id, i + unnest(range(0, 20)) as i from x where n > 1)),
+g as (select doc_id, count(*) as n, list(i) as gone from gone group by doc_id),
+e as (
+    select doc_id, count(*) as n_spans
+    from (select doc_id, i, lag(i) over (partition by doc_id order by i) as before from gone)
+    where before is null or before < i - 1 group by doc_id
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+    sha256(array_to_string(case when n is null then w else list_filter(w, lambda y, k: not list_contains(gone, k)) end, ' ')) as kept_sha256
+from w left join g using (doc_id) left join e using (doc_id)
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": JACCARD,
     "op4_quality_rules": QUALITY,
@@ -246,4 +266,5 @@ ORACLES = {
     "op10_license_scans": LICENSES,
     "op11_merkle_manifest": MERKLE,
     "op12_conversation_trie": TRIE,
+    "op13_substring_dedup": WINDOWS,
 }

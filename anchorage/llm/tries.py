@@ -231,8 +231,8 @@ class _Shard:
 
 
 def _frame(rows):
-    numbers = {c: "Int64" for c in RESULT if c != "ends_sha256"}
-    return pd.DataFrame(rows, columns=RESULT).astype(numbers)
+    kinds = {c: "object" if c == "ends_sha256" else "Int64" for c in RESULT}  # long ids are no floats
+    return pd.DataFrame({c: pd.array([r[i] for r in rows], kinds[c]) for i, c in enumerate(RESULT)})
 
 
 def _local(known):
