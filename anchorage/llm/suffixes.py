@@ -209,8 +209,8 @@ PARCEL_NAMES = ["_part", "_ids", "_keys", "_data", "_raw", *SPAN_NAMES]
 
 def _out(spans, parcels):
     if parcels:
-        numbers = {c: "Int64" for c in SPAN_NAMES}
-        yield pd.DataFrame([(*p, *[None] * len(SPAN_NAMES)) for p in parcels], columns=PARCEL_NAMES).astype(numbers)
+        # not null: pandas would read the numbers of spans beside them as floats, which hold 53 bits
+        yield pd.DataFrame([(*p, *[0] * len(SPAN_NAMES)) for p in parcels], columns=PARCEL_NAMES)
     if len(spans):  # dealt out too, but nothing is done with them there
         yield spans.assign(_part=spans["_doc"] % 1009, _ids=None, _keys=None, _data=None, _raw=None)[PARCEL_NAMES]
 
