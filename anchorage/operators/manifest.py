@@ -7,6 +7,7 @@ import pyspark
 from pyspark.sql import functions as F
 
 from anchorage.functions import hashing
+from anchorage.sources import files
 
 
 def fingerprint(df, cols=None, digest="sha2"):
@@ -26,23 +27,18 @@ def fingerprint(df, cols=None, digest="sha2"):
     return df.agg(F.count(F.lit(1)).alias("rows"), *total)
 
 
-def file_hashes(spark, root, pattern="*"):
-    """(path, length, sha256) of files, hashed where they are read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(root)
-    )
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+def file_hashes(spark, root, pattern="*", shards=None, size=files.RANGE):
+    """(path, length, ranges, sha256) of files, hashed by ranges of ``size`` bytes in parallel."""
+    return files.hashes(spark, root, pattern, shards, size)
 
 
-def build(spark, datasets, params=None, paths=None, revision=None, ref=None, files=None, digest="sha2"):
+def build(spark, datasets, params=None, paths=None, revision=None, ref=None, folders=None, digest="sha2", size=files.RANGE):
     """(key, value) rows describing a run; ``datasets`` = {name: DataFrame}, ``paths`` = {name: path}.
 
     Code revision and reference come from the caller or from ``GIT_SHA`` and
-    ``GIT_REF``; it is an error if there is neither. ``files`` = {name: folder} adds a
-    hash over the names, lengths and contents of the files of each folder.
+    ``GIT_REF``; it is an error if there is neither. ``folders`` = {name: folder} adds a
+    hash over the relative paths, lengths and contents of the files of each folder, which
+    are read by ranges of ``size`` bytes.
     """
     revision, ref = revision or os.getenv("GIT_SHA"), ref or os.getenv("GIT_REF")
     if not revision or not ref:
@@ -62,8 +58,7 @@ def build(spark, datasets, params=None, paths=None, revision=None, ref=None, fil
     fixed |= {f"dataset.{k}_filepath": v for k, v in (paths or {}).items()}
     out = spark.createDataFrame(sorted(fixed.items()), "key string, value string")
     listed = {
-        name: file_hashes(spark, root).select(F.regexp_extract("path", "[^/]*$", 0).alias("name"), "length", "sha256")
-        for name, root in (files or {}).items()
+        name: file_hashes(spark, root, size=size).select("path", "length", "sha256") for name, root in (folders or {}).items()
     }
     hashed = [(f"{k}_fingerprint", df) for k, df in datasets.items()]
     hashed += [(f"{k}_files", df) for k, df in listed.items()]

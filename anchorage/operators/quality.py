@@ -5,6 +5,7 @@ from itertools import zip_longest
 from pyspark.sql import functions as F
 
 from anchorage.functions.names import quoted, rows, text
+from anchorage.sources import files
 
 
 def _per_column(df, aggs, cells):
@@ -100,14 +101,17 @@ def missing_paths(expected, present, col="path"):
     return expected.join(present.select(col).distinct(), col, "left_anti")
 
 
-def listing(spark, root, pattern="*"):
-    """(path, length) of the files under a folder; file contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select("path", "length")
+def inventory(expected, present, col="path"):
+    """Paths of one side only: ``state`` is missing (expected, not present) or surplus (present, not expected)."""
+    sides = [df.select(col).distinct().withColumn(f"_{k}", F.lit(True)) for k, df in enumerate((expected, present))]
+    both = sides[0].join(sides[1], col, "full").where("_0 is null or _1 is null")
+    return both.select(col, F.when(F.col("_1").isNull(), "missing").otherwise("surplus").alias("state"))
+
+
+def listing(spark, root, pattern="*", shards=None):
+    """(path, length) of the files under a folder, each shard folder listed by a task; contents are not read."""
+    return files.listing(spark, root, pattern, shards).select(
+        F.concat(F.lit(root.rstrip("/") + "/"), F.col("path")).alias("path"), "length"
     )
 
 

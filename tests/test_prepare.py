@@ -196,9 +196,12 @@ def test_listing_and_inventory(spark, frame, tmp_path):
     (tmp_path / "p1" / "a.jpg").write_bytes(b"abc")
     (tmp_path / "p1" / "note.txt").write_bytes(b"")
     found = quality.listing(spark, str(tmp_path), "*.jpg")
-    assert [(r["path"], r["length"]) for r in found.collect()] == [(f"file:{tmp_path}/p1/a.jpg", 3)]
-    wanted = frame("path string", (f"file:{tmp_path}/p1/a.jpg",), ("file:/gone.jpg",))
-    assert [r["path"] for r in quality.missing_paths(wanted, found).collect()] == ["file:/gone.jpg"]
+    assert [(r["path"], r["length"]) for r in found.collect()] == [(f"{tmp_path}/p1/a.jpg", 3)]
+    wanted = frame("path string", (f"{tmp_path}/p1/a.jpg",), ("/gone.jpg",), (None,))
+    assert [r["path"] for r in quality.missing_paths(wanted, found).collect()] == ["/gone.jpg", None]
+    present = found.union(frame("path string, length long", ("/more.jpg", 1), ("/more.jpg", 1)))
+    states = {(r["path"], r["state"]) for r in quality.inventory(wanted.dropna(), present).collect()}
+    assert states == {("/gone.jpg", "missing"), ("/more.jpg", "surplus")}
 
 
 def test_splits_stats_and_csv_round_trip(spark, frame, tmp_path):

@@ -178,17 +178,9 @@ def test_fingerprint_counts_copies_and_ignores_order(spark, frame):
     assert prints[0] == prints[1] and len(set(prints)) == 3
 
 
-def test_file_hashes(spark, tmp_path):
-    import hashlib
-
-    (tmp_path / "a.bin").write_bytes(b"abc")
-    got = manifest.file_hashes(spark, str(tmp_path)).first()
-    assert got["length"] == 3 and got["sha256"] == hashlib.sha256(b"abc").hexdigest()
-
-
 def test_run_manifest(spark, frame, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"abc")
-    table = manifest.build(spark, {"d": frame("k int", (1,))}, {"p": 1}, {"d": "/data/d"}, revision="abc", ref="main", files={"d": str(tmp_path)})
+    table = manifest.build(spark, {"d": frame("k int", (1,))}, {"p": 1}, {"d": "/data/d"}, revision="abc", ref="main", folders={"d": str(tmp_path)})
     got = {r["key"]: r["value"] for r in table.collect()}
     assert got["source.git_sha"] == "abc" and got["p"] == "1" and got["dataset.d_filepath"] == "/data/d"
     assert got["dataset.d_files"].startswith("1:")

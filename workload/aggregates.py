@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from anchorage import config as C
 from anchorage.operators import explore, features, learn, lookback, manifest, metrics, prepare, quality, split
 from anchorage.plans import clinical, report
-from anchorage.sources import sinks
+from anchorage.sources import files, sinks, stores
 from workload.basics import (
     LINE_NUMBERS,
     MANIFEST_SQL,
@@ -344,16 +344,17 @@ def weighted_bce(s):
 
 
 ORDERED_TEXT = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-EVENT_TEXT_SQL = " || '|' || ".join(
-    f"coalesce(length({c}::varchar)::varchar || ':' || {c}::varchar, '~')" for c in ORDERED_TEXT
-)
+
+
+def text_sql(cols):
+    return " || '|' || ".join(f"coalesce(length({c}::varchar)::varchar || ':' || {c}::varchar, '~')" for c in cols)
 
 
 @query(
     "content_hash",
     sql=f"""select count(*) as rows, cast(sum(('0x' || substr(h, 1, 15))::bigint) as varchar) as slice_a,
        cast(sum(('0x' || substr(h, 16, 15))::bigint) as varchar) as slice_b
-from (select md5({EVENT_TEXT_SQL}) as h from events)""",
+from (select md5({text_sql(ORDERED_TEXT)}) as h from events)""",
 )
 def content_hash(s):
     return manifest.fingerprint(s.raw("events"), ORDERED_TEXT, digest="md5")
@@ -480,28 +481,56 @@ MANIFEST_ROWS = {
     "source.git_sha": "stand-in",
     "source.git_ref": "workload",
     "dataset.events_filepath": "events.parquet",
+    "dataset.customer_filepath": "customer.parquet",
     **{k: str(v) for k, v in MANIFEST_PARAMS.items()},
 }
+CUSTOMER_TEXT = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+MANIFEST_RANGE = 1000  # bytes, so that most of the files have several ranges
 
 
-@query(
-    "run_manifest",
-    sql=f"""select 'dataset.events_fingerprint' as key, count(*)::varchar || ':'
+def fingerprint_sql(key, cols, source):
+    return f"""select 'dataset.{key}' as key, count(*)::varchar || ':'
        || cast(sum(('0x' || substr(h, 1, 15))::bigint) as varchar) || ':'
        || cast(sum(('0x' || substr(h, 16, 15))::bigint) as varchar) as value
-from (select md5({EVENT_TEXT_SQL}) as h from events)"""
+from (select md5({text_sql(cols)}) as h from {source})"""
+
+
+@query(
+    "run_manifest",
+    sql=f"""with written as (
+    select 'n' || c_nationkey % 5 || '/nation-' || c_nationkey || '.csv' as path,
+        string_agg(c_custkey || ',' || c_name || ',' || c_mktsegment || chr(10), '' order by c_custkey) as content
+    from customer group by c_nationkey
+),
+ranges as (select *, unnest(range(0, length(content), {MANIFEST_RANGE})) as a from written),
+files as (
+    select path, length(content) as length, sha256(string_agg(sha256(substr(content, a + 1, {MANIFEST_RANGE})), '' order by a)) as sha256
+    from ranges group by path, content
+)
+{fingerprint_sql("events_fingerprint", ORDERED_TEXT, "events")}
+union all {fingerprint_sql("customer_fingerprint", CUSTOMER_TEXT, "customer")}
+union all {fingerprint_sql("customer_files", ["path", "length", "sha256"], "files")}
+"""
     + "".join(f" union all select '{k}', '{v}'" for k, v in MANIFEST_ROWS.items()),
 )
 def run_manifest(s):
-    """All but the environment rows, which differ from machine to machine."""
+    """Both inputs and the files written from one; all but the environment rows, which differ from machine to machine."""
+    line = F.concat_ws(",", "c_custkey", "c_name", "c_mktsegment")
+    lines = F.array_sort(F.collect_list(F.struct("c_custkey", F.concat(line, F.lit("\n")).alias("line"))))
+    name = F.format_string("n%d/nation-%d.csv", F.col("c_nationkey") % 5, F.col("c_nationkey"))
+    content = s.raw("customer").groupBy("c_nationkey").agg(F.array_join(lines["line"], "").alias("content"))
+    folder = files.write_files(content.withColumn("path", name), sinks.scratch(s.spark))
+    stores.delete_at_exit(s.spark, folder)
     table = manifest.build(
         s.spark,
-        {"events": s.raw("events").select(*ORDERED_TEXT)},
+        {"events": s.raw("events").select(*ORDERED_TEXT), "customer": s.raw("customer").select(*CUSTOMER_TEXT)},
         MANIFEST_PARAMS,
-        {"events": MANIFEST_ROWS["dataset.events_filepath"]},
+        {k: MANIFEST_ROWS[f"dataset.{k}_filepath"] for k in ("events", "customer")},
         revision=MANIFEST_ROWS["source.git_sha"],
         ref=MANIFEST_ROWS["source.git_ref"],
+        folders={"customer": folder},
         digest="md5",
+        size=MANIFEST_RANGE,
     )
     return table.where("key not like 'environment.%'")
 

@@ -1,5 +1,9 @@
 """Scans, sources and sinks, scalar functions, filters."""
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -7,7 +11,7 @@ from anchorage import config as C
 from anchorage.functions import images, times, values
 from anchorage.operators import explore, features, prepare, quality, ranking, split
 from anchorage.plans import clinical
-from anchorage.sources import sinks, tables
+from anchorage.sources import files, runs, sinks, stores, tables
 from workload.registry import query
 from workload.standins import HOURS, with_tables
 
@@ -90,15 +94,33 @@ def split_case(key, seed=42, train=8000, val=9800):
     sql=with_tables(f"select subject_id, stay_id, hadm_id, {split_case('subject_id')} as split from first_stay"),
 )
 def write_splits(s):
+    """All splits become readable at once; each is its own dataset."""
     parts = split.by_hash(
         s.first_stay.select("subject_id", "stay_id", "hadm_id"), "subject_id", C.SPLIT_FRACTIONS, C.SPLIT_SEED
     )
-    return s.spark.read.parquet(sinks.write_splits(parts, sinks.scratch(s.spark)))
+    root, names = sinks.scratch(s.spark), list(C.SPLIT_FRACTIONS)
+    sinks.publish_splits(parts, root, names)
+    stores.delete_at_exit(s.spark, root)
+    found = sinks.published(s.spark, root)
+    return reduce(DataFrame.unionByName, [found[n].withColumn("split", F.lit(n)) for n in names])
 
 
-@query("write_intermediate", sql=with_tables("select * from vitalsign"))
+@query(
+    "write_intermediate",
+    sql=with_tables(
+        "select subject_id, count(*) as readings, max(heartrate) as heartrate_max from vitalsign group by subject_id"
+    ),
+)
 def write_intermediate(s):
-    return sinks.materialize(s.vitalsign)
+    """Two stored steps of a run that goes on from its ledger when it is started again."""
+    with runs.Run(s.spark, f"vitals-{uuid.uuid4().hex}", {"inputs": s.dir}, keep=True) as run:
+        run.step("vitalsign", lambda: s.vitalsign)
+    with runs.Run(s.spark, run.name, {"inputs": s.dir}) as again:
+        vitals = again.step("vitalsign", lambda: s.vitalsign.limit(0))  # from the ledger
+        counted = vitals.groupBy("subject_id").agg(
+            F.count(F.lit(1)).alias("readings"), F.max("heartrate").alias("heartrate_max")
+        )
+        return sinks.materialize(again.step("counted", lambda: counted))
 
 
 def stats_rows(stats, cols):
@@ -164,13 +186,23 @@ def image_paths(df, base="b/", ext=".jpg"):
 @query(
     "image_inventory",
     sql=with_tables(
-        f"""select path from ({path_sql("cxr_meta")}) except
-select path from ({path_sql("cxr_meta where ViewPosition in ('AP', 'PA')")})"""
+        f"""select path, 'missing' as state from (select path from expected except select path from present)
+union all select path, 'surplus' from (select path from present except select path from expected)""",
+        expected=path_sql("cxr_meta"),
+        present=f"""{path_sql("cxr_meta where ViewPosition in ('AP', 'PA')")}
+union all {path_sql("cxr_meta where ViewPosition not in ('AP', 'PA') and study_id % 2 = 0", ext="dicom")}""",
     ),
 )
 def image_inventory(s):
-    frontal = s.cxr_meta.where(F.col("ViewPosition").isin(C.FRONTAL_VIEWS))
-    return quality.missing_paths(image_paths(s.cxr_meta), image_paths(frontal))
+    """Expected images against a folder that holds the frontal ones, and others in another format."""
+    frontal = F.col("ViewPosition").isin(C.FRONTAL_VIEWS)
+    others = s.cxr_meta.where(~frontal & (F.col("study_id") % 2 == 0))
+    present = image_paths(s.cxr_meta.where(frontal)).union(image_paths(others, ext=".dicom"))
+    root = sinks.scratch(s.spark)
+    files.write_files(present.select(F.expr("substr(path, 3)").alias("path"), F.col("path").alias("content")), f"{root}/b")
+    stores.delete_at_exit(s.spark, root)
+    found = quality.listing(s.spark, f"{root}/b").withColumn("path", F.expr(f"substr(path, {len(root) + 2})"))
+    return quality.inventory(image_paths(s.cxr_meta), found)
 
 
 MANIFEST_SQL = f"""
