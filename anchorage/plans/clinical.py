@@ -183,8 +183,11 @@ def require_features(rows, order):
 def model_matrix(rows, stats, base, ext, order=None, checked=True):
     """(split, image_path, features, label): standardised vectors in contract order.
 
-    ``checked`` takes one pass over the standardised rows first.
+    ``checked`` takes one pass over the standardised rows first. With fewer
+    than two training rows there is no deviation to standardise by, and the matrix is empty.
     """
+    if all(v is None for v in stats.select("std.*").first()):
+        rows = rows.limit(0)
     scaled = prepare.standardize(rows, stats, C.CONTINUOUS)
     if checked:
         require_features(scaled, order or C.FEATURE_ORDER)

@@ -6,7 +6,7 @@ from datetime import timedelta
 import pytest
 
 from anchorage import config as C
-from anchorage.operators import quality
+from anchorage.operators import prepare, quality
 from anchorage.plans import clinical
 from anchorage.sources import sinks
 
@@ -92,6 +92,9 @@ def test_prepared_rows_meet_the_contract(built):
     stats = clinical.training_stats(rows)
     with pytest.raises(ValueError, match="creatinine_min"):
         clinical.model_matrix(rows, stats, "img/", ".jpg")
+    for few in (rows.limit(0), rows.limit(1)):  # nothing to standardise by
+        lone = clinical.model_matrix(rows, prepare.fit_stats(few, C.CONTINUOUS), "img/", ".jpg")
+        assert lone.columns == ["split", "image_path", "features", C.LABEL] and lone.collect() == []
     matrix = clinical.model_matrix(rows, stats, "img/", ".jpg", checked=False)
     got = matrix.where("image_path like '%/d11.jpg'").first()
     assert got["image_path"] == "img/p11/p11/s110/d11.jpg" and len(got["features"]) == 34

@@ -59,22 +59,52 @@ def test_median_of_even_count(frame):
     assert (row["a"], row["b"], row["c"]) == (3.0, 5.0, None)
 
 
-@pytest.mark.parametrize("n", [1, 2, 7, 1000, 2501])
-@pytest.mark.parametrize("buckets", [None, "split"])
-def test_bracketed_median_is_exact(spark, n, buckets, monkeypatch):
+def skewed(n):
+    """Ties, a skewed column, a constant, nulls."""
     rnd = random.Random(n)
-    # ties, a skewed column, a constant, nulls
-    rows = [(rnd.gauss(0, 1), float(rnd.randrange(4)), 7.0, rnd.random() ** 9 if i % 3 else None) for i in range(n)]
-    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
-    if buckets == "split":
-        # make the inside counts go through the split running sums
-        real = prepare._middle
-        monkeypatch.setattr(prepare, "_middle", lambda *a, **k: real(*a[:3], buckets=4))
-    got = prepare.fit_medians(df, ["a", "b", "c", "d"], accuracy=50).first()
-    for i, name in enumerate("abcd"):
-        present = [r[i] for r in rows if r[i] is not None]
-        want = statistics.median(present) if present else None
-        assert got[name] == want, name
+    return [(rnd.gauss(0, 1), float(rnd.randrange(4)), 7.0, rnd.random() ** 9 if i % 3 else None) for i in range(n)]
+
+
+def exact(rows):
+    columns = [[v for v in column if v is not None] for column in zip(*rows)]
+    return tuple(statistics.median(c) if c else None for c in columns)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1000, 2501])
+@pytest.mark.parametrize("group_rows", [100_000, 0])
+def test_bracketed_median_is_exact(spark, n, group_rows):
+    df = spark.createDataFrame(skewed(n), "a double, b double, c double, d double")
+    got = prepare.fit_medians(df, ["a", "b", "c", "d"], size=16, group_rows=group_rows).first()
+    assert tuple(got) == exact(skewed(n))
+
+
+def test_median_of_old_and_new_rows_by_merged_states(spark, tmp_path):
+    old, new, cols = skewed(3000), [(a + 1, b, c, d) for a, b, c, d in skewed(2001)], ["a", "b", "c", "d"]
+    frames = [spark.createDataFrame(r, "a double, b double, c double, d double") for r in (old, new)]
+    stored = prepare.quantile_state(frames[0], cols, size=256)
+    stored.write.parquet(str(tmp_path / "state"))
+    state = prepare.merge_states(spark.read.parquet(str(tmp_path / "state")), prepare.quantile_state(frames[1], cols, size=256))
+    slack = prepare.SURE * prepare.rank_error(256)
+    first = prepare._brackets(state, [slack])[0]
+    want = exact(old + new)
+    assert all(lo <= m <= hi for (lo, hi), m in zip((first[c] for c in cols), want))
+    both = frames[0].union(frames[1])
+    assert tuple(prepare.fit_medians(both, cols, state=state, size=256).first()) == want
+    lone = prepare.merge_states(state, prepare.quantile_state(frames[0].limit(0), cols))
+    assert all(lo <= m <= hi for (lo, hi), m in zip(prepare._brackets(lone, [slack])[0].values(), want))
+
+
+def test_a_state_that_misses_is_widened(spark, frame):
+    df = spark.createDataFrame(skewed(1000), "a double, b double, c double, d double")
+    foreign = prepare.quantile_state(frame("a double, b double", (1e9, None)), ["a", "b"])
+    assert tuple(prepare.fit_medians(df, ["a", "b"], state=foreign).first()) == exact(skewed(1000))[:2]
+
+
+def test_median_with_nan_and_infinite_values(frame):
+    inf, nan = float("inf"), float("nan")
+    df = frame("a double, b double, c double", (1.0, -inf, nan), (nan, -inf, nan), (nan, inf, nan), (2.0, 3.0, nan), (0.0, inf, 1.0))
+    row = prepare.fit_medians(df, ["a", "b", "c"]).first()
+    assert row["a"] == 2.0 and row["b"] == 3.0 and row["c"] != row["c"]  # NaN counts as the largest
 
 
 def test_approximate_median(frame):

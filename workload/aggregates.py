@@ -625,15 +625,15 @@ def scaled_sql(c):
     sql=with_tables(
         "select split, image_path, hospital_expire_flag::float as hospital_expire_flag, "
         + ", ".join(f"round(cast({scaled_sql(c)} as float)::double, 4) as {c}" for c in C.FEATURE_ORDER)
-        + f" from ready join ({path_sql('ready').replace('as path', 'as image_path, dicom_id')}) using (dicom_id)",
+        + f" from ready join ({path_sql('ready').replace('as path', 'as image_path, dicom_id')}) using (dicom_id)"
+        + " where (select count(*) from train) > 1",
         **PREPARED_SQL,
         train="select * from ready where split = 'train'",
     ),
 )
 def model_matrix(s):
     rows = sinks.materialize(clinical.prepared(clinical.build(s.tables())))
-    # the smallest tables have no training row to fit anything to, which the check would refuse
-    matrix = clinical.model_matrix(rows, clinical.training_stats(rows), "b/", ".jpg", checked=False)
+    matrix = clinical.model_matrix(rows, sinks.materialize(clinical.training_stats(rows)), "b/", ".jpg")
     # the vector is spread over named columns so that it can be compared by value
     return matrix.select(
         "split",
