@@ -1,6 +1,9 @@
 """Scans and relational plumbing around them."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from anchorage.sources import sinks
 
 
 def table(spark, name, cols=None):
@@ -21,6 +24,31 @@ def read_csv(spark, path, schema=None, quote='"', sampling=1.0):
     return reader.option("inferSchema", True).option("samplingRatio", sampling).csv(path)
 
 
+def read_csv_rejects(spark, path, schema, quote='"', header=True):
+    """(good, rejected) rows of a typed CSV: lines that do not fit the schema are kept, not nulled.
+
+    ``rejected`` has the ``line`` as it stands and its ``file``: too many or too few fields, or
+    a value that is not of its type. The file is parsed once and stored, so that both frames
+    are of the same reading; good and rejected rows together are all lines.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wide = T.StructType([*fields, T.StructField("_line", T.StringType())])
+    reader = spark.read.option("header", header).option("quote", quote).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", "_line").option("columnPruning", False).schema(wide).csv(path)
+    rows = sinks.materialize(rows.withColumn("_file", F.input_file_name()))
+    good = rows.where("_line is null").drop("_line", "_file")
+    return good, rows.where("_line is not null").select(F.col("_line").alias("line"), F.col("_file").alias("file"))
+
+
+def cast_key_rejects(df, col, dtype):
+    """(good, rejected) rows: ``cast_key`` of those it can read, and those with another value as they are.
+
+    A null key is good: it is absent, not wrong.
+    """
+    fits = F.col(col).isNull() | F.col(col).try_cast(dtype).isNotNull()
+    return cast_key(df.where(fits), col, dtype), df.where(~fits)
+
+
 def sql(spark, text, **frames):
     """SQL over DataFrames named in the text as ``{name}``."""
     return spark.sql(text, **frames)

@@ -2,6 +2,7 @@
 
 import uuid
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 
 from anchorage import config as C
 from anchorage.functions import images, times, values
-from anchorage.operators import explore, features, prepare, quality, ranking, split
+from anchorage.operators import explore, features, moments, prepare, quality, ranking, split
 from anchorage.plans import clinical
 from anchorage.sources import files, runs, sinks, stores, tables
 from workload.registry import query
@@ -67,6 +68,49 @@ def csv_inferred_scan(s):
     )
 
 
+BROKEN_SQL = """case study_id % 7 when 0 then line || ',more' when 1 then 'x' || line when 2 then 'only,two' else line end"""
+
+
+@query(
+    "csv_rejects",
+    sql=with_tables(
+        """select 'good' as state, study_id, cast(null as varchar) as line from lines where study_id % 7 > 2
+union all select 'rejected', null, broken from lines where study_id % 7 <= 2
+union all select 'counted', count(*), cast(null as varchar) from lines""",
+        lines=f"""select study_id, {BROKEN_SQL} as broken
+from (select study_id, study_id || ',' || dicom_id || ',' || ViewPosition as line from cxr_meta)""",
+    ),
+)
+def csv_rejects(s):
+    """Lines with a field too many, too few or of a wrong type go to the rejected ones; none is lost."""
+    line = s.cxr_meta.select("study_id", F.concat_ws(",", "study_id", "dicom_id", "ViewPosition").alias("line"))
+    path = sinks.write_lines(line.select(F.expr(BROKEN_SQL).alias("line")), sinks.scratch(s.spark), "line")
+    stores.delete_at_exit(s.spark, path)
+    schema = "study_id long, dicom_id string, ViewPosition string"
+    good, rejected = tables.read_csv_rejects(s.spark, path, schema, header=False)
+    counted = good.select("study_id").union(rejected.select(F.lit(0).cast("long"))).agg(F.count(F.lit(1)).alias("study_id"))
+    return (
+        good.select(F.lit("good").alias("state"), "study_id", F.lit(None).cast("string").alias("line"))
+        .union(rejected.select(F.lit("rejected"), F.lit(None).cast("long"), "line"))
+        .union(counted.select(F.lit("counted"), "study_id", F.lit(None).cast("string")))
+    )
+
+
+@query(
+    "cast_key_rejects",
+    sql="""select 'good' as state, count(*) as rows, sum(k)::bigint as total
+from (select try_cast(case when user_id % 5 = 0 then 'u' || user_id else user_id::varchar end as bigint) as k from events) where k is not null
+union all select 'rejected', count(*), cast(null as bigint) from events where user_id % 5 = 0""",
+)
+def cast_key_rejects(s):
+    """Keys as text, of which every fifth is no number."""
+    key = F.when(F.col("user_id") % 5 == 0, F.concat(F.lit("u"), F.col("user_id"))).otherwise(F.col("user_id").cast("string"))
+    good, rejected = tables.cast_key_rejects(s.raw("events").select(key.alias("k")), "k", "bigint")
+    return good.agg(F.lit("good").alias("state"), F.count(F.lit(1)).alias("rows"), F.sum("k").alias("total")).union(
+        rejected.agg(F.lit("rejected"), F.count(F.lit(1)), F.lit(None).cast("long"))
+    )
+
+
 @query(
     "frame_as_relation",
     sql=with_tables(
@@ -123,12 +167,12 @@ def write_intermediate(s):
         return sinks.materialize(again.step("counted", lambda: counted))
 
 
-def stats_rows(stats, cols):
+def stats_rows(stats, cols, digits=6):
     cells = [
         F.struct(
             F.lit(c).alias("column"),
-            F.round(F.col(f"mean.{c}"), 6).alias("mean"),
-            F.round(F.col(f"std.{c}"), 6).alias("std"),
+            F.round(F.col(f"mean.{c}"), digits).alias("mean"),
+            F.round(F.col(f"std.{c}"), digits).alias("std"),
         )
         for c in cols
     ]
@@ -147,6 +191,31 @@ def stats_json(s):
     return stats_rows(sinks.read_stats(s.spark, path, LINE_NUMBERS), LINE_NUMBERS)
 
 
+@query("stats_json_merged", sql=STATS_SQL.replace(", 6)", ", 5)"))
+def stats_json_merged(s):
+    """Statistics of the whole from the stored states of three parts, without their rows."""
+    rows, paths = s.raw("lineitem"), []
+    for k in range(3):
+        part = moments.state(rows.where(F.col("l_orderkey") % 3 == k), LINE_NUMBERS)
+        paths.append(moments.write(part, sinks.scratch(s.spark)))
+        stores.delete_at_exit(s.spark, paths[-1])
+    merged = moments.merge(*[moments.read(s.spark, p) for p in paths])
+    return stats_rows(moments.stats(merged, LINE_NUMBERS), LINE_NUMBERS, digits=5)
+
+
+@query(
+    "corr_merged",
+    sql=" union all ".join(
+        f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) as r from lineitem" for a, b in combinations(LINE_NUMBERS, 2)
+    ),
+)
+def corr_merged(s):
+    """Correlations of the whole from the states of parts."""
+    rows = s.raw("lineitem")
+    parts = [moments.state(rows.where(F.col("l_orderkey") % 2 == k), LINE_NUMBERS, pairs=True) for k in range(2)]
+    return moments.corr(moments.merge(*parts)).withColumn("r", F.round("r", 6))
+
+
 VITALSIGN_TYPES = [
     ("subject_id", "bigint"),
     ("charttime", "timestamp_ntz"),

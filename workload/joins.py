@@ -282,6 +282,23 @@ def split_dataset(s):
     return split.by_hash(s.raw("customer").select("c_custkey"), "c_custkey", C.SPLIT_FRACTIONS, C.SPLIT_SEED)
 
 
+@query(
+    "split_exact",
+    sql="""with keys as (select o_custkey, min(o_orderpriority) as stratum from orders group by o_custkey),
+placed as (
+    select o_custkey, count(*) over (partition by stratum) as n,
+        row_number() over (partition by stratum order by ('0x' || substr(md5(concat('42|', o_custkey::varchar)), 1, 15))::bigint, o_custkey) as place
+    from keys
+)
+select o_orderkey, o_custkey, case when place <= floor(n * 0.8 + 0.5) then 'train' when place <= floor(n * 0.98 + 0.5) then 'val' else 'test' end as split
+from orders join placed using (o_custkey)""",
+)
+def split_exact(s):
+    """Customers in splits of exact size within each stratum; all orders of one stay together."""
+    orders = s.raw("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return split.exact(orders, "o_custkey", C.SPLIT_FRACTIONS, C.SPLIT_SEED, by="o_orderpriority").drop("o_orderpriority")
+
+
 @query(
     "subsample",
     sql="""select o_orderkey, o_totalprice from orders
