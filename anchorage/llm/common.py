@@ -171,8 +171,10 @@ class Ids:
         """Ids of all pieces in a row."""
         if not pieces:
             return np.zeros(0, np.uint32)
-        self.remember(pieces)
-        known = self.known
-        first, length = self.place[np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))].T
+        at = list(map(self.known.get, pieces))
+        if None in at:
+            self.remember(pieces)
+            at = list(map(self.known.__getitem__, pieces))
+        first, length = self.place[np.array(at, np.int64)].T
         begin = np.cumsum(length) - length
         return self.flat[np.arange(length.sum()) + np.repeat(first - begin, length)]

@@ -50,6 +50,27 @@ class WordIds:
         self.ending = np.zeros(max(vocab.values()) + 1, bool)
         self.ending[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.ids, self.chunks = {}, Ids(self.learn, 1 << 20)
+        self.same, self.odd = set(), set()
+
+    def agrees(self, char):
+        """Whether the library lower-cases and cuts a character as Python does; newer ones may differ."""
+        if unicodedata.category(char) in ("Cn", "Cs"):
+            return False
+        around = f"a{char}a {char} 1{char}1 .{char}."
+        normal = self.whole.normalizer.normalize_str(around)
+        if normal != unicodedata.normalize("NFC", around).lower() and not char.isspace():
+            return False
+        cut = [normal[a:b] for _, (a, b) in self.whole.pre_tokenizer.pre_tokenize_str(normal)]
+        return cut == [w for part in GAPS.split(normal) for w in WORDS.findall(part)]
+
+    def known(self, text):
+        """Whether all characters of a text are cut alike; each is asked about once."""
+        if text.isascii():
+            return True
+        chars = set(text)
+        for c in chars - self.same - self.odd:
+            (self.same if self.agrees(c) else self.odd).add(c)
+        return self.odd.isdisjoint(chars)
 
     def normal(self, text):
         if "Σ" in text:  # the library lower-cases letter by letter, Python looks at a sigma's place
@@ -72,18 +93,33 @@ class WordIds:
         for k in range(0, len(new), 4096):
             self.ids.update(self.library(new[k : k + 4096]))
         ids = self.ids
+        if any(ids[w] is None for w in new):  # words that run into each other: the library takes the whole run
+            return [
+                self.library_ids(c) if any(ids[w] is None for w in found) else [i for w in found for i in ids[w]]
+                for c, found in zip(chunks, cut)
+            ]
         return [[i for w in found for i in ids[w]] for found in cut]
 
+    def library_ids(self, text):
+        return self.words.encode(text, add_special_tokens=False).ids
+
     def library(self, words):
-        """(word, ids) by the library, all in one text: a word's last id is one that ends words."""
+        """(word, ids) by the library, all in one text: a word's last id is one that ends words.
+
+        Where the words cannot be told apart, each half is tried; no ids for a single one.
+        """
         ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids)
         ends = np.flatnonzero(self.ending[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):
-            raise ValueError("ids of words cannot be told apart in this vocabulary")
+            half = len(words) // 2
+            return self.library(words[:half]) + self.library(words[half:]) if half else [(words[0], None)]
         ids, ends = ids.tolist(), [0, *ends.tolist()]
         return [(w, ids[a:b]) for w, a, b in zip(words, ends, ends[1:])]
 
     def plain(self, text):
+        if not self.known(text):
+            self.whole.encode_special_tokens = True  # no mark is in here
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
         text = self.normal(text)
         # Python's split also cuts at four control characters, which are no white space here
         return self.chunks.of(GAPS.split(text) if SEPARATORS.search(text) else text.split())
