@@ -43,6 +43,7 @@ WIDTH = 22  # bits of a row's cells in a slice; there are two rows
 PART = 1 << 20  # windows in a part of the second pass, were all of them there
 CROWDED, MOST_CROWDS = 256, 1 << 16  # a frequent anchor has so many places at least; so many there are at most
 BLOCK = 1 << 22  # bytes hashed at a time
+SPREAD = 1 << 20  # what needs no grouping is dealt out by so many values of the id
 
 
 def _block_words(data):
@@ -184,7 +185,7 @@ def _sketches(length, slices):
                     some = docs[text[a]], keys[text[a]], cells[a], many_cells[t], count[many][t].astype(np.uint32)
                     own = [x.tobytes() if x.any() else b"" for x in some[1:2]]
                     out.append((s, some[0].tobytes(), *own, *(x.tobytes() for x in some[2:]), *NO_TEXT))
-                yield pd.DataFrame(out, columns=SKETCH_NAMES).assign(_deal=[docs[0] % 1009 if r[0] == NO_SLICE else r[0] for r in out])
+                yield pd.DataFrame(out, columns=SKETCH_NAMES).assign(_deal=[r[6] % SPREAD if r[0] == NO_SLICE else r[0] for r in out])
 
     return run
 
@@ -292,7 +293,7 @@ def _candidates(length, slices, parts, crowds):
                 covered = settle(gram, window, docs[text], place)
                 spans = _spans(docs, keys, text[covered], place[covered], length)
                 if len(spans):
-                    yield spans.assign(**{c: None for c in PARCEL_NAMES[1:]}, _part=NO_SLICE, _deal=spans["_doc"] % 1009)
+                    yield spans.assign(**{c: None for c in PARCEL_NAMES[1:]}, _part=NO_SLICE, _deal=spans["_doc"] % SPREAD)
                 rest = np.flatnonzero(~covered)
                 stretch, place, window, text, gram = (x[rest] for x in (stretch, place, window, text, gram))
                 crowd = np.isin((at[stretch] << 32) + cells[stretch].astype(np.int64), known)
