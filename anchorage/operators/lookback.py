@@ -14,7 +14,10 @@ needless; in any case the event scan is cut to the span of all windows.
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,26 +142,123 @@ def exists(anchor, events, on, t0, t, before, after=0):
     return windows.join(extremes, [*on, _SLOT]).where(hit).select(*on).distinct()
 
 
-def nearest(anchor, events, on, t0, t, before, tie, key=None, after=0, pick="closest"):
+def nearest(anchor, events, on, t0, t, before, tie, key=None, after=0, pick="closest", group_rows=ordered.GROUP_ROWS):
     """For each anchor the one event of its window closest to ``t0``.
 
     ``pick="farthest"`` takes the other end of the window. Equal gaps go to the
     smallest ``tie``. ``key`` names the columns that identify an anchor (default:
-    all of its columns). Anchors without an event in the window drop out.
+    all of its columns). Anchors without an event in the window drop out, and so do
+    rows without a key or a time.
+
+    No pair is formed: anchors and events lie in one order of time, and each anchor takes the
+    last event carried up to it (or the first one after it), so the work grows with the rows
+    of both, not with their product. An anchor looks into two slots at most. Slots of one key with
+    more than ``group_rows`` rows and more than a task's share are split by time (``_split``).
     """
     if pick not in ("closest", "farthest"):
         raise ValueError(f"pick must be 'closest' or 'farthest', not {pick!r}")
-    on = _keys(on)
-    pairs = join(anchor, events, on, t0, t, before, after)
+    on, width = _keys(on), _width(before, after)
+    low, high = times.bounds(t0, before, after)
+    probes = _probes(pick, F.col(t0), low, high, before, after)
+    named = [F.col(c).isNotNull() for c in on]
+    points = F.array(*[F.struct(point.alias("at"), F.lit(back).alias("back")) for point, back in probes])
+    left = (
+        anchor.where(reduce(and_, named))
+        .select("*", F.explode(F.sequence(slot(low, width), slot(high, width))).alias(_SLOT), low.alias("_low"), high.alias("_high"))
+        .select("*", F.explode(points).alias("_p"))
+        .select(*on, _SLOT, F.col("_p.at").alias("_at"), F.lit(1).alias("_side"), F.col("_p.back").alias("_back"),
+                F.struct("_low", "_high", *[c for c in anchor.columns if c not in on]).alias("_anchor"))
+    )
+    own = [c for c in events.columns if c not in on]
+    right = events.where(reduce(and_, named)).select(
+        *on, slot(t, width).alias(_SLOT), F.col(t).alias("_at"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"),
+        F.struct(*own).alias("_event")
+    )
+    rows = right.unionByName(left, allowMissingColumns=True)
+    carried = _carried(rows, on, {back for _, back in probes}, group_rows).where("_side = 1").drop("_at", "_side", "_tie")
+    found = carried.where(F.col(f"_found.{t}").between(F.col("_anchor._low"), F.col("_anchor._high")))
+    pairs = found.select(*on, "_anchor.*", "_found.*").drop("_low", "_high")
     gap = F.abs(F.col(t0) - F.col(t))
     if pick == "farthest":
         gap = -gap
     key = list(key) if key else list(anchor.columns)
-    carried = [c for c in pairs.columns if c not in key]
-    best = F.min_by(F.struct(*carried), F.struct(gap, F.col(tie)))
+    kept = [c for c in pairs.columns if c not in key]
+    best = F.min_by(F.struct(*kept), F.struct(gap, F.col(tie)))
     return pairs.groupBy(*key).agg(best.alias("_row")).select(*key, "_row.*").select(*pairs.columns)
 
 
+def _probes(pick, t0, low, high, before, after):
+    """Where an anchor looks: (time, backwards?). The wanted event is the nearest found from one of them."""
+    if pick == "farthest":
+        return [(low, False)] * (before > 0 or after <= 0) + [(high, True)] * (after > 0)
+    if before <= 0:
+        return [(t0 if before == 0 else low, False)]
+    if after <= 0:
+        return [(t0 if after == 0 else high, True)]
+    return [(t0, True), (t0, False)]
+
+
+def _order(back):
+    # at one time events come before anchors, and the one with the smallest tie comes last
+    return [F.col("_at").asc() if back else F.col("_at").desc(), F.col("_side"), F.col("_tie").desc()]
+
+
+def _carry(group, back):
+    """The event of the group that was met last on the way to a row."""
+    upto = group.orderBy(*_order(back)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.last("_event", ignorenulls=True).over(upto)
+
+
+def _toward(backs, value):
+    """``value(back)`` in the direction in which an anchor looks."""
+    if len(backs) == 1:
+        return value(*backs)
+    return F.when(F.col("_back"), value(True)).otherwise(value(False))
+
+
+def _carried(rows, on, backs, group_rows):
+    """Anchor rows with ``_found``, the event carried to them inside (key, slot)."""
+    by = [*on, _SLOT]
+    largest = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    buckets = ordered.default_buckets(rows.sparkSession)
+    hot = ordered.hot_keys(rows, by, buckets, group_rows)
+    some = hot.collect() if largest > group_rows else []  # at most ``buckets`` rows
+    if not some:
+        return rows.withColumn("_found", _toward(backs, lambda back: _carry(Window.partitionBy(*by), back)))
+    hot = F.broadcast(rows.sparkSession.createDataFrame(some, hot.schema))
+    rest = rows.join(hot, by, "left_anti")
+    rest = rest.withColumn("_found", _toward(backs, lambda back: _carry(Window.partitionBy(*by), back)))
+    return rest.unionByName(_split(rows.join(hot, by), by, backs, buckets))
+
+
+def _split(rows, by, backs, buckets):
+    """The same for groups too big for one task: cut by time, each cut begins with what the ones before hand on.
+
+    Events of one key and time count as the one with the smallest tie, which is found before
+    the shuffle, so even one time repeated without end is no big group.
+    """
+    same = rows.where("_side = 0").groupBy(*by, "_at").agg(F.min_by(F.struct("_tie", "_event"), F.struct("_tie")).alias("_e"))
+    events = same.select(*by, "_at", F.lit(0).alias("_side"), "_e.*")
+    rows = events.unionByName(rows.where("_side = 1"), allowMissingColumns=True)
+    coded = ordered.with_buckets(rows, ["_at"], buckets)
+    bucket = ordered.BUCKET
+    ends = coded.groupBy(*by, bucket).agg(
+        *[(F.max_by if back else F.min_by)("_event", F.when(F.col("_side") == 0, F.col("_at"))).alias(f"_end{back:d}") for back in backs]
+    )
+
+    def before(back):
+        place = F.col(bucket).asc() if back else F.col(bucket).desc()
+        group = Window.partitionBy(*by).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        return F.last(f"_end{back:d}", ignorenulls=True).over(group).alias(f"_before{back:d}")
+
+    # one row per hot group and cut
+    handed = ends.select(*by, bucket, *[before(back) for back in backs])
+    joined = coded.join(handed, [*by, bucket])
+    group = Window.partitionBy(*by, bucket)
+    found = _toward(backs, lambda back: F.coalesce(_carry(group, back), F.col(f"_before{back:d}")))
+    return joined.withColumn("_found", found).drop(bucket, *[f"_before{back:d}" for back in backs])
+
+
 def rank(pairs, key, t0, t, tie, out="gap_rank", signed=False):
     """Number the events of each anchor by their gap in seconds to ``t0``, ties by ``tie``.
 

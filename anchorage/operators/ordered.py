@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from anchorage.functions import times
 
-_NUMBER, _CODE, _BUCKET = "_ord_number", "_ord_code", "_ord_bucket"
+_NUMBER, _CODE, BUCKET = "_ord_number", "_ord_code", "_ord_bucket"
 
 
 # a group of up to this many rows is sorted by one task without trouble
@@ -86,7 +86,7 @@ def bucketing(df, order, buckets=None):
     number = _number(df, order[0])
     cuts, heavy = _cut(df, number, buckets)
     if not heavy or len(order) < 2:
-        return lambda rows: _assign(rows, number, cuts, _BUCKET)
+        return lambda rows: _assign(rows, number, cuts, BUCKET)
     # a heavy value is always a cut, so it comes first in its bucket
     is_heavy = number.isin(heavy)
     tie = _number(df, order[1])
@@ -95,10 +95,10 @@ def bucketing(df, order, buckets=None):
     place = F.when(F.col("_ord_heavy"), F.col("_ord_tie") + 1).otherwise(F.lit(span))
 
     def assign(rows):
-        coded = _assign(rows, number, cuts, _BUCKET).withColumn("_ord_heavy", is_heavy)
+        coded = _assign(rows, number, cuts, BUCKET).withColumn("_ord_heavy", is_heavy)
         return (
             _assign(coded, tie, tie_cuts, "_ord_tie")
-            .withColumn(_BUCKET, F.col(_BUCKET) * (span + 1) + place)
+            .withColumn(BUCKET, F.col(BUCKET) * (span + 1) + place)
             .drop("_ord_heavy", "_ord_tie")
         )
 
@@ -157,7 +157,7 @@ def running_sums(
         assign = bucketing(source, order, buckets)
         coded = assign(df)
         offsets = _offsets(assign(source), by, sums, descending, totals)
-        joined = _join(coded, offsets, [*by, _BUCKET], "inner")
+        joined = _join(coded, offsets, [*by, BUCKET], "inner")
         return _from_offsets(joined, by, order, sums, descending, totals)
 
     hot = hot_keys(df, by, buckets, group_rows)
@@ -169,9 +169,9 @@ def running_sums(
     big = with_buckets(marked.where("_hot"), order, buckets)
     # at most one row per hot key and bucket
     offsets = _offsets(big, by, sums, descending, totals)
-    rest = marked.where("_hot is null").withColumn(_BUCKET, F.lit(-2).cast("long"))
+    rest = marked.where("_hot is null").withColumn(BUCKET, F.lit(-2).cast("long"))
     coded = big.unionByName(rest).drop("_hot")
-    joined = _join(coded, offsets, [*by, _BUCKET], "left", F.broadcast)
+    joined = _join(coded, offsets, [*by, BUCKET], "left", F.broadcast)
     return _from_offsets(joined, by, order, sums, descending, totals).select(
         *df.columns, *[f"{k}_total" for k in totals], *sums
     )
@@ -181,29 +181,29 @@ def _join(left, right, on, how, hint=lambda df: df):
     """Join on columns of equal names in which null is a value like any other."""
     renamed = {c: f"_right{i}" for i, c in enumerate(on)}
     right = hint(right.withColumnsRenamed(renamed))
-    same = [F.col(c) == F.col(r) if c == _BUCKET else F.col(c).eqNullSafe(F.col(r)) for c, r in renamed.items()]
+    same = [F.col(c) == F.col(r) if c == BUCKET else F.col(c).eqNullSafe(F.col(r)) for c, r in renamed.items()]
     return left.join(right, same, how).drop(*renamed.values())
 
 
 def _offsets(coded, by, sums, descending, totals):
     """Per (by, bucket) the sums of the buckets before it, and the totals of the group."""
-    per_bucket = coded.groupBy(*by, _BUCKET).agg(
+    per_bucket = coded.groupBy(*by, BUCKET).agg(
         *[F.sum(v).alias(f"_sum_{k}") for k, v in sums.items()]
     )
     # as many rows per group as there are buckets, whatever the group's size
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    place = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
+    place = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
     before = group.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
     return per_bucket.select(
         *by,
-        _BUCKET,
+        BUCKET,
         *[F.coalesce(F.sum(f"_sum_{k}").over(before), F.lit(0)).alias(f"_off_{k}") for k in sums],
         *[F.sum(f"_sum_{k}").over(group).alias(f"_all_{k}") for k in totals],
     )
 
 
 def _from_offsets(joined, by, order, sums, descending, totals):
-    group = Window.partitionBy(*by, _BUCKET)
+    group = Window.partitionBy(*by, BUCKET)
     upto = group.orderBy(*_sorting(order, descending)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -213,7 +213,7 @@ def _from_offsets(joined, by, order, sums, descending, totals):
             **{k: F.coalesce(F.col(f"_off_{k}"), F.lit(0)) + F.sum(v).over(upto) for k, v in sums.items()},
             **{f"{k}_total": F.coalesce(F.col(f"_all_{k}"), F.sum(sums[k]).over(group)) for k in totals},
         }
-    ).drop(_BUCKET, *[f"_off_{k}" for k in sums], *[f"_all_{k}" for k in totals])
+    ).drop(BUCKET, *[f"_off_{k}" for k in sums], *[f"_all_{k}" for k in totals])
 
 
 def _windowed(df, by, order, sums, descending, totals):

@@ -176,3 +176,63 @@ def test_a_hot_key_is_split_by_the_skew_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def nearest_by_hand(anchors, events, before, after, pick):
+    out = set()
+    for k, a, t0 in anchors:
+        inside = [
+            (abs(t0 - t) * (1 if pick == "closest" else -1), i, t)
+            for j, t, i in events
+            if None not in (k, j, t, t0) and j == k and t0 - hours(before) <= t <= t0 + hours(after)
+        ]
+        if inside:
+            _, i, t = min(inside, key=lambda x: (x[0], x[1] is not None, x[1] or 0))
+            out.add((k, a, t0, t, i))
+    return out
+
+
+@pytest.mark.parametrize("pick", ["closest", "farthest"])
+@pytest.mark.parametrize(
+    "before, after, group_rows", [(24, 0, 100_000), (24, 0, 20), (5, 7, 20), (0, 6, 100_000), (-2, 9, 20), (9, -2, 100_000)]
+)
+def test_nearest_equals_brute_force(frame, pick, before, after, group_rows):
+    draw = random.Random(before * 31 + after)
+
+    def when():
+        return None if draw.random() < 0.03 else T0 + timedelta(minutes=30 * draw.randrange(160))
+
+    def who():
+        return draw.choice([1, 1, 1, 1, 1, 2, 3, 4, None])
+
+    anchors = [(who(), i, when()) for i in range(60)] + [(1, 99, T0), (1, 99, T0)]
+    # many events at one time, repeated rows, and ties without a value
+    events = [(who(), when(), draw.choice([None, *range(40)])) for _ in range(300)]
+    events += [(1, T0 + hours(1), i) for i in range(90)] * 2 + events[:20]
+    got = lookback.nearest(
+        frame("k long, a long, t0 timestamp_ntz", *anchors),
+        frame("k long, t timestamp_ntz, i long", *events),
+        "k", "t0", "t", before, tie="i", after=after, pick=pick, group_rows=group_rows,
+    ).collect()
+    want = nearest_by_hand(anchors, events, before, after, pick)
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_nearest_of_empty_tables(frame):
+    anchors = frame("k long, a long, t0 timestamp_ntz")
+    events = frame("k long, t timestamp_ntz, i long")
+    got = lookback.nearest(anchors, events, "k", "t0", "t", 24, tie="i")
+    assert got.columns == ["k", "a", "t0", "t", "i"] and got.isEmpty()
+
+
+@pytest.mark.parametrize("group_rows", [100_000, 1_000])
+def test_nearest_forms_no_pairs_of_a_busy_key(spark, group_rows):
+    """All in one slot of one key: pairs would be 4 * 10^9."""
+    n, m = 200_000, 20_000
+    second = lambda k: F.expr(f"timestamp_ntz'2180-01-01 00:00:00' + make_dt_interval(0, 0, 0, {k})")
+    events = spark.range(n).select(F.lit(1).alias("k"), second("id % 80000").alias("t"), F.col("id").alias("i"))
+    anchors = spark.range(m).select(F.lit(1).alias("k"), F.col("id").alias("a"), second("id * 4 + 1").alias("t0"))
+    got = lookback.nearest(anchors, events, "k", "t0", "t", 24, tie="i", group_rows=group_rows)
+    # the event of the same second with the smallest number
+    row = got.agg(F.count(F.lit(1)), F.count_if(F.col("i") == F.col("a") * 4 + 1)).first()
+    assert tuple(row) == (m, m)
