@@ -29,6 +29,7 @@ from anchorage.sources import sinks
 
 GRAM = 14
 HOT = 32  # stretches of a bucket in one batch
+PART = 32 << 20  # bytes of text a part is made for
 COVER, REGION, WINDOWS = 0, 1, 2  # what a span is: covered, or open within its bucket, or by windows
 ENTRY = np.dtype(
     [("block", "V6"), ("bucket", "<u4"), ("doc", "<u4"), ("at", "<u4"), ("n", "u1"), ("left", "<u2"), ("right", "<u2")]
@@ -275,18 +276,40 @@ def _regions(parts):
     return run
 
 
+def _dealt(parcels):
+    """The parcels of a part together and in a row; a bucket lies in one part, so a part is met by itself."""
+    return parcels.repartition("_part").sortWithinPartitions("_part")
+
+
+def _arriving(batches, kept):
+    """(spans, None) of what is settled, and (None, parcels) of one part at a time."""
+    part, held = None, []
+    for batch in batches:
+        done = batch["_data"].isna()
+        if done.any():
+            yield batch.loc[done, SPAN_NAMES], None
+        batch = batch[~done]
+        for p, *parcel in zip(batch["_part"], *(batch[c] for c in kept)):
+            if p != part and held:
+                yield None, held
+                held = []
+            part = p
+            held.append(parcel)
+    if held:
+        yield None, held
+
+
 def _meet(length):
-    """All entries of a partition: which are settled, and which stay open."""
+    """All entries of a part: which are settled, and which stay open."""
 
     def run(batches):
-        parcels = []
-        for batch in batches:
-            done = batch["_data"].isna()
-            if done.any():
-                yield batch.loc[done, SPAN_NAMES]
-            parcels += list(zip(batch["_ids"][~done], batch["_keys"][~done], batch["_data"][~done]))
-        if not parcels:
-            return
+        for spans, parcels in _arriving(batches, ("_ids", "_keys", "_data")):
+            if parcels is None:
+                yield spans
+            else:
+                yield from meet(parcels)
+
+    def meet(parcels):
         e, key = _receive(parcels)
         mark = e["n"] == 0
         hot = np.isin(e["bucket"], np.unique(e["bucket"][mark]))
@@ -307,16 +330,20 @@ def _meet_regions(length):
     """All windows of the regions of a bucket against each other, some buckets at a time."""
 
     def run(batches):
+        for spans, parcels in _arriving(batches, ("_ids", "_keys", "_data", "_raw")):
+            if parcels is None:
+                yield spans
+            else:
+                yield from meet(parcels)
+
+    def meet(parcels):
         heads, docs, packed, raws = [], [], [], []
-        for batch in batches:
-            for i, k, data, raw in zip(batch["_ids"], batch["_keys"], batch["_data"], batch["_raw"]):
-                head = np.frombuffer(data, HEAD)
-                heads.append(head)
-                docs.append(np.frombuffer(i, np.int64)[head["doc"]])
-                packed.append(k)
-                raws.append(np.frombuffer(raw, np.uint8))
-        if not heads:
-            return
+        for i, k, data, raw in parcels:
+            head = np.frombuffer(data, HEAD)
+            heads.append(head)
+            docs.append(np.frombuffer(i, np.int64)[head["doc"]])
+            packed.append(k)
+            raws.append(np.frombuffer(raw, np.uint8))
         key = _keys_of(packed, [h["doc"] for h in heads])
         head, doc, raw = np.concatenate(heads), np.concatenate(docs), np.concatenate(raws)
         size = head["size"].astype(np.int64)
@@ -394,13 +421,14 @@ def dedup(docs, length=50, id_col="doc_id", text_col="text", keep=(), hot=HOT):
     one id are one document, whatever their texts: they take nothing from each other.
     One row per row.
     """
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PART)
     extra = [c for c in keep if c not in (id_col, text_col)]
     texts = _keyed(docs.select(F.col(id_col), F.col(id_col).cast("long").alias("_doc"), text.alias("_text"), *extra))
     some = texts.select("_doc", "_key", "_text").where(F.col("_doc").isNotNull() & (F.octet_length("_text") >= length))
     met = sinks.materialize(
-        some.mapInPandas(_first(length, parts, hot), PARCEL).repartition("_part").mapInPandas(_meet(length), SPAN)
+        _dealt(some.mapInPandas(_first(length, parts, hot), PARCEL)).mapInPandas(_meet(length), SPAN)
     )
     opened = (
         met.where(F.col("_kind") != COVER)
@@ -408,8 +436,8 @@ def dedup(docs, length=50, id_col="doc_id", text_col="text", keep=(), hot=HOT):
         .agg(F.array_sort(F.collect_list(F.struct("_from", "_to", "_kind", "_bucket"))).alias("_spans"))
     )
     opened = some.join(opened, ["_doc", "_key"])
-    windows = opened.mapInPandas(_windows(length, parts), PARCEL).repartition("_part").mapInPandas(_meet(length), SPAN)
-    regions = opened.mapInPandas(_regions(parts), PARCEL).repartition("_part").mapInPandas(_meet_regions(length), SPAN)
+    windows = _dealt(opened.mapInPandas(_windows(length, parts), PARCEL)).mapInPandas(_meet(length), SPAN)
+    regions = _dealt(opened.mapInPandas(_regions(parts), PARCEL)).mapInPandas(_meet_regions(length), SPAN)
     covered = (
         met.union(windows)
         .where(F.col("_kind") == COVER)
