@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from anchorage import config as C
 from anchorage.functions import images, times, values
-from anchorage.operators import explore, features, moments, prepare, quality, ranking, split
+from anchorage.operators import explore, features, moments, prepare, profiles, quality, ranking, split
 from anchorage.plans import clinical
 from anchorage.sources import files, runs, sinks, stores, tables
 from workload.registry import query
@@ -241,6 +241,69 @@ def schema_report(s):
     return quality.schema_report(s.vitalsign, onehot=["sbp"])
 
 
+PROFILED = ["event_id", "user_id", "event_type", "value"]
+
+
+@query(
+    "column_profiles",
+    sql=" union all ".join(
+        f"select {i} as position, '{c}' as \"column\", count(*) as rows, count(*) - count({c}) as nulls, "
+        f"{f'count(distinct {c})' if c == 'event_type' else 'null'} as \"distinct\", true as within from events"
+        for i, c in enumerate(PROFILED)
+    ),
+)
+def column_profiles(s):
+    """Profiles of two parts, merged; estimates must be within three standard errors of a plain count."""
+    events = s.raw("events")
+    parts = [profiles.state(events.where(F.col("event_id") % 2 == k), PROFILED) for k in range(2)]
+    found = profiles.report(profiles.merge(*parts))
+    exact = events.agg(*[F.count_distinct(c).alias(c) for c in PROFILED]).unpivot([], PROFILED, "column", "exact")
+    error = F.abs(F.col("distinct") - F.col("exact"))
+    return found.join(exact, "column").select(
+        "position",
+        "column",
+        "rows",
+        "nulls",
+        # few values are counted exactly
+        F.when(F.col("column") == "event_type", F.col("distinct")).alias("distinct"),
+        (error <= 0.05 * F.col("exact")).alias("within"),
+    )
+
+
+@query(
+    "frequent_values",
+    sql=" union all ".join(
+        f"select '{c}' as \"column\", cast({c} as varchar) as value, count(*) as count from lineitem "
+        f"where {c} is not null group by {c}"
+        for c in ("l_returnflag", "l_linestatus", "l_linenumber")
+    ),
+)
+def frequent_values(s):
+    """All values of three columns with few of them, from states of two parts."""
+    cols = ["l_returnflag", "l_linestatus", "l_linenumber"]
+    rows = s.raw("lineitem")
+    parts = [profiles.state(rows.where(F.col("l_orderkey") % 2 == k), cols) for k in range(2)]
+    return profiles.frequent(profiles.merge(*parts), 100)
+
+
+LISTED = ["customer", "documents", "events", "lineitem", "orders", "part"]
+
+
+@query(
+    "table_listing",
+    sql=" union all ".join(f"select '{t}' as name, count(*) as rows from {t}" for t in LISTED),
+)
+def table_listing(s):
+    """The given tables as views, as the catalog lists them, with their numbers of rows."""
+    views = {f"listed_{t}": t for t in LISTED}
+    for view, t in views.items():
+        s.raw(t).createOrReplaceTempView(view)
+    names = tables.list_tables(s.spark).where(F.col("name").isin(list(views)))
+    counts = [s.spark.table(v).agg(F.lit(v).alias("name"), F.count(F.lit(1)).alias("rows")) for v in views]
+    listed = names.join(reduce(lambda a, b: a.unionByName(b), counts), "name")
+    return listed.select(F.replace("name", F.lit("listed_"), F.lit("")).alias("name"), "rows")
+
+
 def path_sql(table, base="b", ext="jpg"):
     return (
         f"select '{base}/p' || substr(subject_id::varchar, 1, 2) || '/p' || subject_id || '/s' || study_id "
