@@ -69,7 +69,8 @@ def stretches(data, length):
     right = spans_hash(sums, at + GRAM, np.minimum(at + GRAM + side, len(data))) >> U64(48)
     left = np.where(at >= side, np.maximum(left, U64(1)), U64(0))  # 0: the text ends before
     right = np.where(at + GRAM + side <= len(data), np.maximum(right, U64(1)), U64(0))
-    return start, n, block, grams[at], left, right
+    # a batch holds millions of these: each in the width that an entry has
+    return start.astype(np.int32), n.astype(np.uint8), block, grams[at], left.astype(np.uint16), right.astype(np.uint16)
 
 
 def _spans(doc, key, start, end, kind, bucket=0):
@@ -135,12 +136,16 @@ def _hot(block, bucket, most):
 def _send(rows, parts, length, hot_above=None):
     """Settle the entries of one batch; its spans, and one parcel per part.
 
-    rows: (doc id, text key, start, n, block, bucket, left, right) arrays of each document.
+    rows: (doc id, text key, start, n, block, bucket, left, right) arrays of each document. The
+    list is emptied, so that they are not held twice.
     """
     ids, keys = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(2))
     keys = keys if keys.any() else None
-    doc = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
-    at, n, block, bucket, left, right = (np.concatenate([r[i] for r in rows]) for i in range(2, 8))
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[2]) for r in rows])
+    columns = list(zip(*rows))[2:]
+    rows.clear()
+    columns.reverse()
+    at, n, block, bucket, left, right = (np.concatenate(columns.pop()) for _ in range(6))
     settled = _settle(block, bucket, ids[doc])
     spans = [_cover(ids[doc[settled]], _at(keys, doc[settled]), at[settled], at[settled] + n[settled] - 1 + length)]
     keep = np.flatnonzero(~settled)
