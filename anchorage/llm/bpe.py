@@ -5,10 +5,12 @@ neighbours, taken alone, are left as they are. So the last token of a prefix is
 token that ends there and agrees with the last token of the prefix before it.
 """
 
+from array import array
 from itertools import chain
 
 FOREVER = 1 << 60
 REMEMBERED = 1 << 20
+SHORT = 64  # longer texts are not remembered, so what is held follows one text, not its square
 
 
 class Bpe:
@@ -70,9 +72,9 @@ class Bpe:
         return out
 
     def prefixes(self, text):
-        """Fill ``ends``: prefix -> (last token, number of tokens), for all prefixes of a piece.
+        """Fill ``ends``: prefix -> (last token, number of tokens), for all prefixes of a short piece.
 
-            A symbol that is no token stands alone. None for a prefix that no sequence makes up.
+        A symbol that is no token stands alone. None for a prefix that no sequence makes up.
         """
         ends, tokens, longest, joints = self.ends, self.tokens, self.longest, self.joints
         n = len(text)
@@ -104,3 +106,47 @@ class Bpe:
             ends[text[:end]] = at[end] = found
             token = found[0] if found else text[:0]
         return ends
+
+    def path(self, text):
+        """Of each prefix, by its length: where its last token begins (-1: no sequence), and its tokens.
+
+        Two numbers a prefix, whatever the length of the text.
+        """
+        n = len(text)
+        begins, counts = array("q", [-1]) * (n + 1), array("q", [0]) * (n + 1)
+        if n <= SHORT:
+            ends = self.prefixes(text) if n else {}
+            for end in range(1, n + 1):
+                if (found := ends[text[:end]]) is not None:
+                    begins[end], counts[end] = end - len(found[0]), found[1]
+            return begins, counts
+        tokens, longest, joints = self.tokens, self.longest, self.joints
+        for end in range(1, n + 1):
+            for start in chain((begins[end - 1],), range(end - 1, max(0, end - longest) - 1, -1)):
+                token = text[start:end] if start >= 0 else None
+                if token not in tokens and end - start != 1:
+                    continue
+                if start:
+                    if begins[start] < 0:
+                        continue
+                    before = text[begins[start] : start]
+                    fits = joints.get((before, token))
+                    if not (fits or (fits is None and self.whole(token) and self.stays(before, token))):
+                        continue
+                elif not self.whole(token):
+                    continue
+                begins[end], counts[end] = start, counts[start] + 1
+                break
+        return begins, counts
+
+    def count(self, text):
+        """The number of tokens of a piece."""
+        return self.prefixes(text)[text][1] if 0 < len(text) <= SHORT else self.path(text)[1][-1]
+
+    def tokenized(self, text):
+        """The tokens of a piece."""
+        begins, out, end = self.path(text)[0], [], len(text)
+        while end:
+            out.append(text[begins[end] : end])
+            end = begins[end]
+        return out[::-1]

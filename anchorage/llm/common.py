@@ -128,8 +128,8 @@ class Ids:
     """Ids of pieces of text met before, laid end to end, so that a text is one gather.
 
     ``learn(new)`` gives a list of ids for each of some new pieces. What is remembered is
-    bounded by two halves: when one is full, it becomes the older one and a new one begins,
-    which takes over what is met again.
+    bounded by two halves, in pieces, ids and characters: when one is full, it becomes the older
+    one and a new one begins, which takes over what is met again.
     """
 
     def __init__(self, learn, most=1 << 19):
@@ -137,7 +137,7 @@ class Ids:
         self.forget()
 
     def forget(self):
-        self.known, self.used = {}, 0
+        self.known, self.used, self.chars = {}, 0, 0
         self.flat, self.place = np.zeros(1 << 16, np.uint32), np.zeros((1 << 12, 2), np.int64)
 
     def remember(self, pieces):
@@ -145,7 +145,7 @@ class Ids:
         new = set(pieces).difference(known)
         if not new:
             return
-        if len(known) >= self.half or self.used >= 16 * self.half:
+        if len(known) >= self.half or max(self.used, self.chars) >= 16 * self.half:
             self.older = (self.known, self.flat, self.place)
             self.forget()
             known, new = self.known, set(pieces)
@@ -165,7 +165,7 @@ class Ids:
         self.place[k : k + len(new), 0] = self.used + np.cumsum(size) - size
         self.place[k : k + len(new), 1] = size
         known.update(zip(new, range(k, k + len(new))))
-        self.used = n
+        self.used, self.chars = n, self.chars + sum(map(len, new))
 
     def of(self, pieces):
         """Ids of all pieces in a row."""

@@ -92,8 +92,8 @@ class Pieces:
     def walk(self, text, last):
         """For each place the piece that ends there, after a piece ``last`` before the text."""
         if not last:
-            ends = self.bpe.prefixes(text) if text else {}
-            return [last, *(found and found[0] for found in (ends[text[:i]] for i in range(1, len(text) + 1)))]
+            begins = self.bpe.path(text)[0]
+            return [last, *(text[b:i] if b >= 0 else None for i, b in enumerate(begins[1:], 1))]
         at = [last, *[None] * len(text)]
         for end in range(1, len(text) + 1):
             for begin in range(max(0, end - self.longest), end):
@@ -105,11 +105,7 @@ class Pieces:
 
     def unit(self, text):
         """The pieces of a unit from its start."""
-        ends, out = self.bpe.prefixes(text), []
-        while text:
-            out.append(ends[text][0])
-            text = text[: len(text) - len(out[-1])]
-        return out[::-1]
+        return self.bpe.tokenized(text)
 
     def trace(self, text, state):
         """The pieces of a text after a state, up to its end; None if no path gets there."""

@@ -10,13 +10,14 @@ truncation or budgets.
 
 import json
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import functions as F
 
-from anchorage.llm.bpe import REMEMBERED, Bpe
+from anchorage.llm.bpe import REMEMBERED, SHORT, Bpe
 
 # fixed values: the cut of GPT-2's byte-level BPE, with white space as Unicode has it
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -53,10 +54,11 @@ class Prefixes:
         self.totals = {}
 
     def add(self, piece):
-        if len(self.totals) >= REMEMBERED // 2:
-            self.totals.clear()
-        data = piece.encode("utf-8", "surrogatepass")
-        out = self.totals[piece] = self.bpe.prefixes(data)[data][1]
+        out = self.bpe.count(piece.encode("utf-8", "surrogatepass"))
+        if len(piece) <= SHORT:
+            if len(self.totals) >= REMEMBERED // 2:
+                self.totals.clear()
+            self.totals[piece] = out
         return out
 
     def inside(self, pieces, k):
@@ -64,9 +66,9 @@ class Prefixes:
         piece = pieces[k]
         if piece in CONTRACTIONS:  # a part of one is two pieces, the apostrophe and a letter
             return [1, *[2] * (len(piece) - 2), self.total(piece)]
-        ends, out = self.bpe.prefixes(piece.encode("utf-8", "surrogatepass")), []
-        for i in range(1, len(piece) + 1):
-            out.append(ends[piece[:i].encode("utf-8", "surrogatepass")][1])
+        counts = self.bpe.path(piece.encode("utf-8", "surrogatepass"))[1]
+        ends = accumulate(len(c.encode("utf-8", "surrogatepass")) for c in piece)
+        out = [counts[end] for end in ends]
         # white space that ends a prefix is one piece with all white space before it
         if k and piece[0] in BLANK and pieces[k - 1][-1] in BLANK and pieces[k - 1][0] in BLANK:
             out[0] = self.total(pieces[k - 1] + piece[0]) - self.total(pieces[k - 1])
