@@ -19,6 +19,8 @@ RULES = [
 # chance that so many are bad at the base rate
 MIN_BAD, MIN_CONFIDENCE, CHANCE = 5, 0.5, 1e-6
 BAD = "=bad"  # no token holds this sign
+JOINT = "\x00"  # nor this one
+NARROW = 10  # tokens of a page that FP-growth may list all subsets of
 
 
 def rest(url):
@@ -93,7 +95,82 @@ def shortest(rules, frequent):
     return kept
 
 
-def mine(labelled, min_bad=MIN_BAD, min_confidence=MIN_CONFIDENCE, chance=CHANCE):
+def grown_by_fp_growth(narrow, least, good):
+    """Rules (tokens, pages, bad) of projected databases (prefix, bad, items), all in one run of FP-growth.
+
+    An item is named with its prefix, so that databases do not mix.
+    """
+    named = lambda item: F.concat_ws(JOINT, "prefix", item)
+    baskets = narrow.select(F.transform("items", lambda x: named(x.token)).alias("items"), "bad", "prefix")
+    baskets = sinks.materialize(
+        baskets.select(F.when(F.col("bad"), F.array_append("items", named(F.lit(BAD)))).otherwise(F.col("items")).alias("items"))
+    )
+    # the number of baskets makes a share of what is a count
+    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / max(least, baskets.count())).fit(baskets).freqItemsets
+    tokens = F.array_sort(F.array_distinct(F.flatten(F.transform("items", lambda x: F.split(x, JOINT)))))
+    with_bad = F.array_contains("tokens", BAD)
+    return (
+        sets.select(tokens.alias("tokens"), "freq")
+        .groupBy(F.array_remove("tokens", BAD).alias("tokens"))
+        .agg(F.max(F.when(~with_bad, F.col("freq"))).alias("pages"), F.max(F.when(with_bad, F.col("freq"))).alias("bad"))
+        .where((F.size("tokens") > 1) & good)
+    )
+
+
+def combined(baskets, total, least, good, narrow=NARROW):
+    """Rules (tokens, pages, bad) of two tokens or more, from rows (bad, items), items sorted.
+
+    The pages that hold a prefix, with the tokens that follow it, are its database, as in
+    FP-growth. FP-growth would list all subsets of tokens that many pages share, so it gets
+    the databases of at most ``narrow`` tokens a page. The others are grown by one token:
+    a token that makes the prefix a rule, is on too few bad pages for one, or is on all
+    pages of the database (and so changes no count) goes no further. No rule without a
+    shorter one in it is lost, and rules are never extended.
+    """
+    prefix = F.array().cast("array<string>")
+    items = F.transform("items", lambda x: F.struct(x.alias("token"), F.lit(total).cast("long").alias("pages")))
+    databases = baskets.select(prefix.alias("prefix"), F.lit(total).cast("long").alias("of"), "bad", items.alias("items"))
+    databases = sinks.materialize(databases.where(F.size("items") > 0).withColumn("_row", F.monotonically_increasing_id()))
+    found = baskets.select(prefix.alias("tokens"), F.lit(0).cast("long").alias("pages"), F.lit(0).cast("long").alias("bad")).limit(0)
+    while not databases.isEmpty():
+        width = databases.groupBy("prefix").agg(F.max(F.size("items")).alias("_width"))
+        databases = sinks.materialize(databases.join(width, "prefix"))
+        few = databases.where(F.col("_width") <= narrow)
+        if not few.isEmpty():
+            found = found.union(grown_by_fp_growth(few, least, good))
+        each = databases.where(F.col("_width") > narrow).select(
+            "_row", "prefix", "of", F.col("bad").alias("_bad"), F.explode("items.token").alias("token")
+        )
+        counts = sinks.materialize(
+            each.groupBy("prefix", "of", "token").agg(F.count(F.lit(1)).alias("pages"), F.count_if("_bad").alias("bad"))
+        )
+        longer = F.size("prefix") > 0  # single tokens were judged before
+        found = found.union(
+            counts.where(longer & good).select(F.array_sort(F.array_append("prefix", F.col("token"))).alias("tokens"), "pages", "bad")
+        )
+        live = counts.where((F.col("bad") >= least) & ~(longer & good) & (F.col("pages") < F.col("of")))
+        kept = (
+            each.join(live.select("prefix", "token", "pages"), ["prefix", "token"])
+            .groupBy("_row", "prefix", "_bad")
+            .agg(F.array_sort(F.collect_list(F.struct("token", "pages"))).alias("items"))
+        )
+        # each token with those after it
+        parts = F.transform("items", lambda x, i: F.struct(x.alias("head"), F.slice("items", i + 2, F.size("items")).alias("rest")))
+        databases = sinks.materialize(
+            kept.select("prefix", F.col("_bad").alias("bad"), F.explode(parts).alias("_part"))
+            .select(
+                F.array_append("prefix", F.col("_part.head.token")).alias("prefix"),
+                F.col("_part.head.pages").alias("of"),
+                "bad",
+                F.col("_part.rest").alias("items"),
+            )
+            .where(F.size("items") > 0)
+            .withColumn("_row", F.monotonically_increasing_id())
+        )
+    return found
+
+
+def mine(labelled, min_bad=MIN_BAD, min_confidence=MIN_CONFIDENCE, chance=CHANCE, narrow=NARROW):
     """Rules (tokens, confidence, pages, bad) from rows (tokens, bad), and (token, freq) of all tokens.
 
     A rule is a combination of tokens with ``min_bad`` bad pages or more, of which
@@ -102,7 +179,7 @@ def mine(labelled, min_bad=MIN_BAD, min_confidence=MIN_CONFIDENCE, chance=CHANCE
     chances of the rule's own pages, so a rule needs the same evidence at every table size.
     Rules that hold a shorter one are left out. Rows with a null label do not count.
 
-    Nothing else is left out: FP-growth gets no token that is a rule (all it is in hold
+    Nothing else is left out: ``combined`` gets no token that is a rule (all it is in hold
     a shorter one) or is on fewer bad pages than any rule needs, and one of the tokens
     that are on the same pages; its rules hold for the others as well.
     """
@@ -125,22 +202,13 @@ def mine(labelled, min_bad=MIN_BAD, min_confidence=MIN_CONFIDENCE, chance=CHANCE
         .agg(F.array_sort(F.collect_list("token")).alias("_members"))
         .select(F.col("_members")[0].alias("_token"), "_members")
     )
-    # FP-growth keeps all frequent tokens on the driver and on each executor too
     items = (
-        rows.select("_row", "bad", F.explode_outer("tokens").alias("_token"))
-        .join(F.broadcast(classes.select("_token", F.col("_token").alias("_item"))), "_token", "left")
+        rows.select("_row", "bad", F.explode("tokens").alias("_token"))
+        .join(classes.select("_token"), "_token")
         .groupBy("_row", "bad")
-        .agg(F.collect_list("_item").alias("items"))
-    )
-    baskets = items.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total).fit(baskets).freqItemsets
-    with_bad = F.array_contains("items", BAD)
-    combined = (
-        sets.groupBy(F.array_sort(F.array_remove("items", BAD)).alias("tokens"))
-        .agg(F.max(F.when(~with_bad, F.col("freq"))).alias("pages"), F.max(F.when(with_bad, F.col("freq"))).alias("bad"))
-        .where((F.size("tokens") > 1) & good)
+        .agg(F.array_sort(F.collect_list("_token")).alias("items"))
     )
-    few = shortest(combined, frequent)
+    few = shortest(combined(items.select("bad", "items"), total, least, good, narrow), frequent)
     members = (
         few.select("tokens", "pages", "bad", F.explode("tokens").alias("_token"))
         .join(classes, "_token")

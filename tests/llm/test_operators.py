@@ -293,7 +293,8 @@ def rules_by_force(rows):
     return {s: v for s, v in found.items() if not any(set(o) < set(s) for o in found)}
 
 
-def test_url_rules_are_all_that_evidence_bears(spark):
+@pytest.mark.parametrize("narrow", [10, 3, 0])
+def test_url_rules_are_all_that_evidence_bears(spark, narrow):
     rng = random.Random(8)
     rows = []
     for _ in range(900):
@@ -301,12 +302,20 @@ def test_url_rules_are_all_that_evidence_bears(spark):
         some |= {"twin" + t for t in some & {"a", "b"}}  # on the same pages
         rows.append((sorted(some), rng.random() < (0.9 if {"a", "c"} <= some or "b" in some and "d" in some else 0.1)))
     rows += [(["f", "spam"], True)] * 12
-    found, _ = urls.mine(spark.createDataFrame([*rows, (["a"], None)], "tokens array<string>, bad boolean"))
+    found, _ = urls.mine(spark.createDataFrame([*rows, (["a"], None)], "tokens array<string>, bad boolean"), narrow=narrow)
     want = rules_by_force(rows)
     assert ("spam",) in want and ("b", "d") in want and ("d", "twinb") in want
     assert {tuple(r.tokens): (r.pages, r.bad) for r in found.collect()} == want
 
 
+def test_url_rules_of_a_template_with_many_tokens(spark):
+    """Thirty tokens on the same bad pages, each on good pages too: 435 pairs, not 2^30 sets."""
+    shared = [f"t{k:02d}" for k in range(30)]
+    rows = [(shared, True)] * 16 + [([t, f"u{i % 7}"], False) for i, t in enumerate(shared * 30)]
+    found, _ = urls.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))
+    assert {tuple(r.tokens) for r in found.collect()} == set(itertools.combinations(shared, 2))
+
+
 def test_url_rules_need_the_same_evidence_at_every_size(spark):
     def verdicts(good, spam):
         n = good + spam
