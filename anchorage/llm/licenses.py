@@ -30,6 +30,70 @@ TEMPLATES = [
     ("copyright-notice", "copyright [[ c ]] {{1..2}} [[ by ]] {{1..8}} all rights reserved"),
 ]
 
+# fixed values: whole texts of public licenses and notices, in words; what holders fill in is replaceable
+_MIT_LICENSE = """
+permission is hereby granted free of charge to any person obtaining a copy of this software and
+associated documentation files the software to deal in the software without restriction including
+without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies
+of the software and to permit persons to whom the software is furnished to do so subject to the
+following conditions the above copyright notice and this permission notice [[ including the next
+paragraph ]] shall be included in all copies or substantial portions of the software the software is
+provided as is without warranty of any kind express or implied including but not limited to the
+warranties of merchantability fitness for a particular purpose and noninfringement in no event shall
+{{1..8}} be liable for any claim damages or other liability whether in an action of contract tort or
+otherwise arising from out of or in connection with the software or the use or other dealings in the
+software
+"""
+_ISC_LICENSE = """
+permission to use copy modify and [[ or ]] distribute this software for any purpose with or without fee
+is hereby granted provided that the above copyright notice and this permission notice appear in all
+copies the software is provided as is and {{1..6}} disclaims all warranties with regard to this software
+including all implied warranties of merchantability and fitness in no event shall {{1..6}} be liable for
+any special direct indirect or consequential damages or any damages whatsoever resulting from loss of
+use data or profits whether in an action of contract negligence or other tortious action arising out of
+or in connection with the use or performance of this software
+"""
+_APACHE_2_0_NOTICE = """
+licensed under the apache license version 2 0 the license you may not use {{1..3}} except in compliance
+with the license you may obtain a copy of the license at {{1..1}} www apache org licenses license 2 0
+unless required by applicable law or agreed to in writing software distributed under the license is
+distributed on an as is basis without warranties or conditions of any kind either express or implied see
+the license for the specific language governing permissions and limitations under the license
+"""
+_GPL_FULL_NOTICE = """
+free software you can redistribute it and or modify it under the terms of the gnu [[ lesser ]] [[ affero
+]] general public license as published by the free software foundation [[ either ]] version {{1..1}} of
+the license [[ or at your option any later version ]]
+"""
+_BSD_CONDITIONS = """
+redistribution and use in source and binary forms with or without modification are permitted provided
+that the following conditions are met [[ 1 ]] redistributions of source code must retain the above
+copyright notice this list of conditions and the following disclaimer [[ 2 ]] redistributions in binary
+form must reproduce the above copyright notice this list of conditions and the following disclaimer in
+the documentation and or other materials provided with the distribution
+"""
+_BSD_NAMES = """
+[[ 3 ]] neither the name of {{1..12}} nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission
+"""
+_BSD_DISCLAIMER = """
+this software is provided by {{1..8}} as is and any express or implied warranties including but not
+limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed
+in no event shall {{1..8}} be liable for any direct indirect incidental special exemplary or
+consequential damages including but not limited to procurement of substitute goods or services loss of
+use data or profits or business interruption however caused and on any theory of liability whether in
+contract strict liability or tort including negligence or otherwise arising in any way out of the use of
+this software even if advised of the possibility of such damage
+"""
+WHOLE = [
+    ("mit-license", _MIT_LICENSE),
+    ("isc-license", _ISC_LICENSE),
+    ("apache-2.0-notice", _APACHE_2_0_NOTICE),
+    ("gpl-full-notice", _GPL_FULL_NOTICE),
+    ("bsd-2-clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
+    ("bsd-3-clause", _BSD_CONDITIONS + _BSD_NAMES + _BSD_DISCLAIMER),
+]
+
 # on bytes, A-Z are lower-cased alone, and every byte beyond ASCII is part of a word
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 ANY = None
@@ -136,7 +200,7 @@ def matches(words, templates):
     return found
 
 
-def scan(docs, id_col="doc_id", text_col="text", phrases=PHRASES, templates=TEMPLATES):
+def scan(docs, id_col="doc_id", text_col="text", phrases=PHRASES, templates=(*TEMPLATES, *WHOLE)):
     """Phrases and template matches of every text.
 
     Columns: id, n_words, n_base (places of phrases), first_word, last_word (smallest and

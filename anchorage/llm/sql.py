@@ -1,5 +1,8 @@
 """DuckDB SQL for the operators that SQL can express, over whole tables."""
 
+import re
+
+from anchorage.llm.licenses import WHOLE
 from anchorage.llm.quality import BOILERPLATE, LEAST_KEPT, SHORT_LINE
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -122,7 +125,19 @@ _PATTERNS = {
     "spdx-tag": "spdx license identifier [^ ]+",
     "copyright-notice": "copyright (c )?([^ ]+ ){1,2}(by )?([^ ]+ ){1,8}all rights reserved",
 }
-_MATCHES = ", ".join(f"case when regexp_matches(j, ' {p} ') then '{label}' end" for label, p in _PATTERNS.items())
+
+
+def _pattern(template):
+    """A template of a whole text as a pattern; each word brings the space after it."""
+    marks = {"[[": "(", "]]": ")?"}
+    words = (marks.get(m) or re.sub(r"\{\{(\d+)\.\.(\d+)\}\}", r"([^ ]+ ){\1,\2}", m if "{" in m else m + " ") for m in template.split())
+    return "".join(words)
+
+
+_MATCHES = ", ".join(
+    f"case when regexp_matches(j, ' {p}') then '{label}' end"
+    for label, p in [*((label, p + " ") for label, p in _PATTERNS.items()), *((label, _pattern(t)) for label, t in WHOLE)]
+)
 
 LICENSES = f"""
 with w as materialized (select doc_id, {WORDS} as w from documents),

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -468,6 +469,50 @@ def test_license_templates(spark, docs, nothing):
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(nothing).collect() == []
 
 
+def filled(template, optional, words=1):
+    """A text of a template, with all or no optional parts, in upper case and with signs."""
+    text, before = template, None
+    while before != text:
+        before, text = text, re.sub(r"\[\[([^\[\]]*)\]\]", r"\1" if optional else "", text)
+    text = re.sub(r"\{\{(\d+)\.\.(\d+)\}\}", lambda m: "Holder " * min(words, int(m[2])), text)
+    return ", ".join(text.upper().split())
+
+
+def test_whole_licenses():
+    both = tuple([*licenses.TEMPLATES, *licenses.WHOLE])
+    labels = lambda text: {m[0] for m in licenses.matches(licenses.words_of(text), both)}
+    for label, template in licenses.WHOLE:
+        for optional in (True, False):
+            for words in (1, 4):
+                text = filled(template, optional, words)
+                assert label in labels("Some words before; " + text + " and after.")
+                assert not ({"bsd-2-clause", "bsd-3-clause"} - {label}) & labels(text)
+        # any one mandatory word changed or left out, to the last, is refused
+        plain = filled(template, False).split(", ")
+        for k, word in enumerate(plain):
+            if word != "HOLDER":
+                assert label not in labels(" ".join([*plain[:k], "zzz", *plain[k + 1 :]]))
+                if k and "HOLDER" not in (plain[k - 1], plain[min(k + 1, len(plain) - 1)]):
+                    assert label not in labels(" ".join([*plain[:k], *plain[k + 1 :]])), (label, k, word)
+        assert label not in labels(filled(template, False, 0)) or "{{" not in template
+
+
+def test_whole_licenses_match_their_sql(spark):
+    import duckdb
+
+    from anchorage.llm import sql
+
+    texts = [filled(t, o, w) for _, t in licenses.WHOLE for o in (True, False) for w in (0, 1, 4, 9)]
+    texts += [t.replace("WARRANTIES", "GUARANTEES") for t in texts] + [None, ""] + texts[:2]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    want = duckdb.sql(sql.LICENSES).df().set_index("doc_id").labels.to_dict()
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in found} == want
+    again = [r.labels for r in licenses.scan(spark.createDataFrame([rows[0]] * 3, "doc_id long, text string")).collect()]
+    assert again == [want[0]] * 3  # repeated rows are kept
+
+
 def test_automata():
     def accepts(template, text):
         return licenses.Automaton(template).accepts(licenses.words_of(text), 0)
