@@ -145,8 +145,15 @@ class Bpe:
 
     def tokenized(self, text):
         """The tokens of a piece."""
-        begins, out, end = self.path(text)[0], [], len(text)
-        while end:
-            out.append(text[begins[end] : end])
-            end = begins[end]
+        out, end = [], len(text)
+        if 0 < end <= SHORT:
+            ends = self.prefixes(text)
+            while end:
+                out.append(ends[text[:end]][0])
+                end -= len(out[-1])
+        else:
+            begins = self.path(text)[0]
+            while end:
+                out.append(text[begins[end] : end])
+                end = begins[end]
         return out[::-1]
