@@ -47,29 +47,30 @@ class Bpe:
         return len(token) == 1 or self.split(token) is not None
 
     def stays(self, a, b):
+        """Whether a, b side by side are left alone, remembered."""
+        known = self.joints.get((a, b))
+        if known is None:
+            if len(self.joints) >= REMEMBERED // 2:
+                self.joints.clear()
+            known = self.joints[a, b] = self.alone(a, b)
+        return known
+
+    def alone(self, a, b):
         """Whether a, b side by side are left alone: undo their merges, the latest first, and look
         for a merge across the joint that would have come before the next step on either side."""
-        known = self.joints.get((a, b))
-        if known is not None:
-            return known
-        x, y, x_until, y_until, out = a, b, FOREVER, FOREVER, True
+        x, y, x_until, y_until = a, b, FOREVER, FOREVER
         while True:
             r = self.rank(x, y)
             # of equal merges the left one comes first
             if r is not None and r < x_until and r <= y_until:
-                out = False
-                break
+                return False
             sx, sy = self.split(x), self.split(y)
             if sx is None and sy is None:
-                break
+                return True
             if sy is None or (sx is not None and sx[2] > sy[2]):
                 x, x_until = sx[1], sx[2]
             else:
                 y, y_until = sy[0], sy[2]
-        if len(self.joints) >= REMEMBERED // 2:
-            self.joints.clear()
-        self.joints[a, b] = out
-        return out
 
     def prefixes(self, text):
         """Fill ``ends``: prefix -> (last token, number of tokens), for all prefixes of a short piece.

@@ -1,6 +1,6 @@
 """What the operators share: numpy hashing of words and windows, and sorted groups in a stream."""
 
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -133,48 +133,67 @@ class Ids:
     """
 
     def __init__(self, learn, most=1 << 19):
-        self.learn, self.half, self.older = learn, most // 2, ({}, None, None)
+        self.learn, self.half, self.older = learn, most // 2, ({}, None, None, None)
         self.forget()
 
     def forget(self):
         self.known, self.used, self.chars = {}, 0, 0
-        self.flat, self.place = np.zeros(1 << 16, np.uint32), np.zeros((1 << 12, 2), np.int64)
-
-    def remember(self, pieces):
-        known = self.known
-        new = set(pieces).difference(known)
-        if not new:
-            return
-        if len(known) >= self.half or max(self.used, self.chars) >= 16 * self.half:
-            self.older = (self.known, self.flat, self.place)
-            self.forget()
-            known, new = self.known, set(pieces)
-        met, flat, place = self.older
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.first, self.size = np.zeros((2, 1 << 12), np.int64)
+
+    def remember(self, new):
+        """Take in pieces that are not known, each once."""
+        met, *place = self.older
         again = [p for p in new if p in met]
-        ids = [flat[a : a + n].tolist() for a, n in (place[met[p]] for p in again)]
-        fresh = list(new.difference(again))
-        ids += self.learn(fresh) if fresh else []
-        new = again + fresh
+        fresh = [p for p in new if p not in met] if again else new
+        old = np.fromiter(map(met.__getitem__, again), np.int64, len(again))
+        ids = self.learn(fresh) if fresh else []
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        n, k = self.used + int(size.sum()), len(known)
+        if again:
+            size = np.r_[place[2][old], size]
+        n, k = self.used + int(size.sum()), len(self.known)
         if n > len(self.flat):
-            self.flat = np.r_[self.flat, np.zeros(max(n, len(self.flat)), np.uint32)]
-        if k + len(new) > len(self.place):
-            self.place = np.r_[self.place, np.zeros((max(k + len(new), len(self.place)), 2), np.int64)]
-        self.flat[self.used : n] = list(chain.from_iterable(ids))
-        self.place[k : k + len(new), 0] = self.used + np.cumsum(size) - size
-        self.place[k : k + len(new), 1] = size
-        known.update(zip(new, range(k, k + len(new))))
+            self.flat = np.r_[self.flat, np.zeros(max(n - len(self.flat), len(self.flat)), np.uint32)]
+        if k + len(new) > len(self.first):
+            room = np.zeros(max(k + len(new) - len(self.first), len(self.first)), np.int64)
+            self.first, self.size = np.r_[self.first, room], np.r_[self.size, room]
+        middle = self.used + int(size[: len(again)].sum())
+        if again:
+            self.flat[self.used : middle] = gathered(*place, old)
+        self.flat[middle:n] = list(chain.from_iterable(ids))
+        self.first[k : k + len(new)] = self.used + np.cumsum(size) - size
+        self.size[k : k + len(new)] = size
+        self.known.update(zip(chain(again, fresh), range(k, k + len(new))))
         self.used, self.chars = n, self.chars + sum(map(len, new))
 
+    def places(self, pieces):
+        at = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(at < 0)
+        if not len(missing):
+            return at
+        if len(self.known) >= self.half or max(self.used, self.chars) >= 16 * self.half:
+            self.older = (self.known, self.flat, self.first, self.size)
+            self.forget()
+            missing = np.arange(len(pieces))
+        new = [pieces[i] for i in missing.tolist()]
+        self.remember(list(dict.fromkeys(new)))
+        at[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        return at
+
     def of(self, pieces):
         """Ids of all pieces in a row."""
-        if not pieces:
-            return np.zeros(0, np.uint32)
-        at = list(map(self.known.get, pieces))
-        if None in at:
-            self.remember(pieces)
-            at = list(map(self.known.__getitem__, pieces))
-        first, length = self.place[np.array(at, np.int64)].T
-        begin = np.cumsum(length) - length
-        return self.flat[np.arange(length.sum()) + np.repeat(first - begin, length)]
+        return gathered(self.flat, self.first, self.size, at) if len(at := self.places(pieces)) else np.zeros(0, np.uint32)
+
+    def of_each(self, lists):
+        """Ids of each list of pieces; the lists are looked up together."""
+        at = self.places(list(chain.from_iterable(lists)))
+        ends = np.cumsum(np.r_[0, self.size[at]])[np.cumsum([0, *map(len, lists)])]
+        ids = gathered(self.flat, self.first, self.size, at)
+        return [ids[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+
+def gathered(flat, first, size, at):
+    """The stretches ``at`` of an array, one after the other."""
+    first, size = first[at], size[at]
+    first -= np.cumsum(size) - size
+    return flat[np.arange(size.sum()) + np.repeat(first, size)]

@@ -15,13 +15,16 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from anchorage.llm.bpe import REMEMBERED, Bpe
+from anchorage.llm.bpe import REMEMBERED, SHORT, Bpe
 from anchorage.llm.common import Ids, sliced
+from anchorage.llm.lattice import Lattice
 from anchorage.sources import sinks
 
 CHUNK = 1 << 16  # code points
+TOGETHER = 1 << 18  # code points of short texts that are looked up together
 SPACE = "▁"
 START = ("", 0)
 
@@ -48,12 +51,14 @@ class Pieces:
         # characters that no piece has side by side never merge, so a unit ends between them
         pairs = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
         place = {c: i for i, c in enumerate(sorted(set("".join(pairs))), 1)}
-        self.code = np.zeros(0x110000, np.uint16)
+        self.code = np.zeros(0x110000, np.int32)
         self.code[[ord(c) for c in place]] = list(place.values())
         self.apart = np.ones((len(place) + 1,) * 2, bool)
         for a, b in pairs:
             self.apart[place[a], place[b]] = False
-        self.cache = Ids(lambda new: [self.ids(self.unit(u)) for u in new], REMEMBERED // 2)
+        self.lattice = Lattice(self.bpe)
+        self.number = np.array([self.id[p] for p in self.lattice.names], np.int64)
+        self.cache = Ids(self.learn, REMEMBERED // 4)
 
     def normal(self, text):
         return self.sp.normalize(text)
@@ -63,8 +68,8 @@ class Pieces:
         if not text:
             return []
         code = self.code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-        cuts = (np.flatnonzero(self.apart[code[:-1], code[1:]]) + 1).tolist()
-        return list(map(text.__getitem__, map(slice, [0, *cuts], [*cuts, len(text)])))
+        cuts = (np.flatnonzero(self.apart.ravel()[code[:-1] * len(self.apart) + code[1:]]) + 1).tolist()
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
 
     def ids(self, pieces):
         out = []
@@ -120,6 +125,21 @@ class Pieces:
             end -= len(at[end])
         return out[::-1]
 
+    def learn(self, units):
+        """Ids of the pieces of each unit: short ones together, long ones alone."""
+        short = [u for u in units if len(u) <= SHORT]
+        token, size = self.lattice.paths(short)
+        ids = np.append(self.number, 0)[np.minimum(token, len(self.number))].tolist()
+        ends = np.cumsum(np.r_[0, size]).tolist()
+        rows = [ids[a:b] for a, b in zip(ends, ends[1:])]
+        lone = np.flatnonzero(token >= len(self.number))
+        for k in np.unique(np.searchsorted(ends, lone, "right") - 1).tolist():  # characters that are no piece
+            rows[k] = self.ids(map(self.lattice.name, token[ends[k] : ends[k + 1]].tolist()))
+        if len(short) == len(units):
+            return rows
+        rows = iter(rows)
+        return [next(rows) if len(u) <= SHORT else self.ids(self.unit(u)) for u in units]
+
     # --- chunks
 
     def states(self, before, after):
@@ -189,6 +209,18 @@ class Pieces:
     def encode(self, text):
         return self.cache.of(self.units(self.normal(text)))
 
+    def encode_each(self, texts):
+        """Ids of each text, some code points at a time."""
+        held, size = [], 0
+        for text in texts:
+            held.append(self.units(self.normal(text)))
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self.cache.of_each(held)
+                held, size = [], 0
+        if held:
+            yield from self.cache.of_each(held)
+
     def decode(self, ids):
         return spelling(self.path).decode(ids)
 
@@ -303,21 +335,31 @@ def _trace(path):
     return run
 
 
-def encode(docs, path, id_col="doc_id", text_col="text", chunk=CHUNK):
+def encode(docs, path, id_col="doc_id", text_col="text", chunk=CHUNK, decoded=None):
     """id and ``ids`` of every text, as the library gives them without begin and end.
 
     Texts of more than ``chunk`` code points go through the scan, the others are one chunk.
     A null text counts as empty and has no ids. Repeated rows and null ids are kept.
+    ``decoded`` names a further column for the text of the ids, as ``decode`` gives it: the ids
+    of short texts are decoded where they are made, and do not go to a second worker.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def whole(batches):
         model = pieces(path)
-        for batch in sliced(batches):
-            yield pd.DataFrame({"_id": batch["_id"], "ids": [model.encode(t).astype(np.int32) for t in batch["_text"]]})
-
-    short = texts.where(F.length("_text") <= chunk).mapInPandas(whole, f"_id {kind}, ids array<int>")
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                ids = list(model.encode_each(part.column(1).to_pylist()))
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                found = [part.column(0), pa.ListArray.from_arrays(ends, np.concatenate(ids).astype(np.int32))]
+                if decoded:
+                    found.append(pa.array(map(model.decode, ids), pa.string()))
+                yield pa.RecordBatch.from_arrays(found, ["_id", "ids", "_decoded"][: len(found)])
+
+    form = f"_id {kind}, ids array<int>" + (", _decoded string" if decoded else "")
+    short = texts.where(F.length("_text") <= chunk).mapInArrow(whole, form)
     giant = texts.where(F.length("_text") > chunk).withColumn("_row", F.monotonically_increasing_id())
     parts = sinks.materialize(
         giant.mapInPandas(_cut(path, chunk), f"_row long, _id {kind}, _k int, _left string, _part string, _right string")
@@ -333,7 +375,9 @@ def encode(docs, path, id_col="doc_id", text_col="text", chunk=CHUNK):
         .agg(F.first("_id").alias("_id"), F.array_sort(F.collect_list(F.struct("_k", "ids"))).alias("_all"))
         .select("_id", F.flatten("_all.ids").alias("ids"))
     )
-    return short.union(joined).withColumnRenamed("_id", id_col)
+    if decoded:
+        joined = decode(joined, path, out_col="_decoded")
+    return short.union(joined).withColumnsRenamed({"_id": id_col, **({"_decoded": decoded} if decoded else {})})
 
 
 def decode(encoded, path, ids_col="ids", out_col="text"):

@@ -64,3 +64,27 @@ def test_remembered_ids_are_bounded_by_characters():
         assert ids.of([piece, "y"]).tolist() == [100 + k, 1]
         assert sum(map(len, ids.known)) <= 16 * ids.half + len(piece) + 1
     assert np.array_equal(ids.of([]), np.zeros(0))
+
+
+def test_many_different_words_in_bounded_memory():
+    work = f"""
+import random, resource
+from anchorage.llm import sentences
+rng, ends = random.Random(1), ["ation", "ment", "the", "ou", "er", "ing", "ñ", "日", "ha", "st"]
+words = lambda n: " ".join("".join(rng.choices(ends, k=6)) for _ in range(n))
+model = sentences.Pieces({PIECES!r})
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for _ in range(200):
+    model.encode(words(3000))
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    grown = subprocess.run([sys.executable, "-c", work], capture_output=True, text=True, check=True).stdout
+    assert int(grown) < 90_000  # KB
+
+
+def test_texts_together_are_the_librarys():
+    model, rng = sentences.Pieces(PIECES), random.Random(5)
+    texts = ["", *runs(), "", "﻿\U000e0001 日xy", "aé" * 40, *("".join(rng.choices("the anou.ñ日!", k=70)) for _ in range(300)), ""]
+    want = [model.sp.encode(t) for t in texts]
+    assert [ids.tolist() for ids in model.encode_each(texts)] == want
+    assert [ids.tolist() for ids in model.encode_each(texts)] == want
