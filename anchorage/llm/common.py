@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 
 U64 = np.uint64
+TOGETHER = 1 << 18  # code points of texts whose pieces are looked up together
 # an odd multiplier and its inverse modulo 2**64; sums of byte codes times its powers are hashes
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)

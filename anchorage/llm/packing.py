@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import functions as F
 
 from anchorage.llm.bpe import REMEMBERED
-from anchorage.llm.common import Ids
+from anchorage.llm.common import TOGETHER, Ids
 from anchorage.llm.tokens import SPACE
 from anchorage.sources import sinks
 
@@ -116,21 +116,36 @@ class WordIds:
         ids, ends = ids.tolist(), [0, *ends.tolist()]
         return [(w, ids[a:b]) for w, a, b in zip(words, ends, ends[1:])]
 
-    def plain(self, text):
+    def runs(self, text):
+        """A text's runs between white space, or the library's ids where it may cut otherwise."""
         if not self.known(text):
             self.whole.encode_special_tokens = True  # no mark is in here
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
         text = self.normal(text)
         # Python's split also cuts at four control characters, which are no white space here
-        return self.chunks.of(GAPS.split(text) if SEPARATORS.search(text) else text.split())
+        return [w for w in GAPS.split(text) if w] if SEPARATORS.search(text) else text.split()
 
     def encode(self, text):
-        parts = self.marks.split(text)
-        if len(parts) == 1:
-            return self.plain(text)
-        return np.concatenate(
-            [np.array([self.special[p]], np.uint32) if i % 2 else self.plain(p) for i, p in enumerate(parts)]
-        )
+        return next(self.encode_each([text]))
+
+    def encode_each(self, texts):
+        """Ids of each text; the runs of some texts are looked up together."""
+        held, size = [], 0
+        for text in texts:
+            parts = enumerate(self.marks.split(text))
+            held.append([np.array([self.special[p]], np.uint32) if i % 2 else self.runs(p) for i, p in parts])
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self.together(held)
+                held, size = [], 0
+        if held:
+            yield from self.together(held)
+
+    def together(self, held):
+        found = iter(self.chunks.of_each([p for parts in held for p in parts if isinstance(p, list)]))
+        for parts in held:
+            parts = [next(found) if isinstance(p, list) else p for p in parts]
+            yield parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 @cache
@@ -149,8 +164,8 @@ def pieces(docs, path, length=2048, end_id=0, id_col="doc_id", text_col="text"):
         model = word_ids(path)
         for batch in batches:
             rows = []
-            for i, text in zip(batch["_id"], batch["_text"]):
-                ids = np.append(model.encode(text), np.uint32(end_id)).astype("<u4")
+            for i, ids in zip(batch["_id"], model.encode_each(batch["_text"])):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), length)):
                     part = ids[at : at + length]
                     rows.append((i, k, at, len(part), zlib.crc32(part.tobytes())))

@@ -19,12 +19,11 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from anchorage.llm.bpe import REMEMBERED, SHORT, Bpe
-from anchorage.llm.common import Ids, sliced
+from anchorage.llm.common import TOGETHER, Ids, sliced
 from anchorage.llm.lattice import Lattice
 from anchorage.sources import sinks
 
 CHUNK = 1 << 16  # code points
-TOGETHER = 1 << 18  # code points of short texts that are looked up together
 SPACE = "▁"
 START = ("", 0)
 

@@ -3,10 +3,11 @@
 from collections import Counter
 
 import public_tokenizers
+from tokenizers import Tokenizer
 
-from anchorage.llm import sentences
+from anchorage.llm import packing, sentences
 
-PIECES = public_tokenizers.path("piece_bpe_32k.model")
+PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
 
 def test_decoded_beside_the_ids(docs, corpus, nothing):
@@ -16,3 +17,16 @@ def test_decoded_beside_the_ids(docs, corpus, nothing):
     assert found.columns == ["doc_id", "ids", "back"]
     assert Counter((r.doc_id, tuple(r.ids), r.back) for r in found.collect()) == want
     assert sentences.encode(nothing, PIECES, decoded="back").collect() == []
+
+
+def test_words_of_many_texts_are_looked_up_together():
+    model, library = packing.WordIds(WORDS), Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = False
+    texts = ["", "the house, the\x1cmouse.", " a  b　c ", "ΟΔΟΣ Σ", "Don't 12½ Ünï", "x" * 300, "\U000e0001 odd", "日本 語"]
+    texts += [f"word{k} and.others" + "yes" * (k % 7) for k in range(400)]
+    calls, learn = [], model.chunks.learn
+    model.chunks.learn = lambda new: calls.append(len(new)) or learn(new)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in model.encode_each(texts)] == want
+    assert len(calls) == 1
+    assert [model.encode(t).tolist() for t in texts] == want
