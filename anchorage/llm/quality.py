@@ -6,6 +6,7 @@ All built-in expressions over one row: nothing is shuffled, and no text leaves t
 from pyspark.sql import functions as F
 
 SPACE = " \t\n\x0b\f\r"
+SOLID = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 # fixed values: wording of page furniture, in lower case
 BOILERPLATE = [
@@ -37,8 +38,13 @@ def words(text):
 
 
 def count_of(text, chars):
-    """How many characters of a text are among ``chars``."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    """How many characters of a text are among ``chars`` (none of them special inside brackets)."""
+    return F.regexp_count(text, F.lit(f"[{chars}]"))
+
+
+def solid_of(w):
+    """Code points in the words ``w``."""
+    return F.length(F.array_join(w, ""))
 
 
 def repeated_words(w, n=3):
@@ -78,14 +84,17 @@ def base(docs, text_col="text"):
     A null or empty text has no words and fails.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(SOLID))
     counts = let(
-        words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("r"))
+        words(text),
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n"), solid_of(w).cast("long").alias("s"), repeated_words(w).alias("r")
+        ),
     )
     out = docs.withColumn("_counts", counts).withColumns(
         {
             "n_words": F.col("_counts.n"),
-            "word_chars": F.length(F.translate(text, SPACE, "")).cast("long"),
+            "word_chars": F.col("_counts.s"),
             "n_symbols": count_of(text, SYMBOLS).cast("long"),
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
             "n_repeat_words": F.col("_counts.r"),
@@ -103,16 +112,18 @@ def line_fails(line):
     between two bars or more, one in three words. Boilerplate: a short line with a
     fixed wording.
     """
-    low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    solid = F.length(F.translate(line, SPACE, ""))
-    n = F.size(words(line))
-    ended = F.rtrim(F.translate(line, SPACE, " ")).rlike(r"[.!?:;…)\"”»]$")
+    return let(words(line), lambda w: _fails(line, solid_of(w), F.size(w)))
+
+
+def _fails(line, solid, n):
+    ended = F.rtrim(F.translate(line, SPACE, " ")).rlike(r"[.!?:;…)\"”»]$")  # looked at in very short lines only
     shouts = (F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("")))) / 2
     punctuation = (5 * count_of(line, SYMBOLS) >= solid) | (3 * shouts >= F.greatest(n, F.lit(1))) | ((n < 4) & ~ended)
     bars = count_of(line, "|")
     navigation = (bars >= 2) & (3 * bars >= n - bars)
-    boilerplate = (n <= SHORT_LINE) & low.rlike("|".join(BOILERPLATE))
-    return (solid > 0) & (punctuation | navigation | boilerplate)
+    # without regard to the case of ASCII letters
+    boilerplate = (n <= SHORT_LINE) & line.rlike("(?i)" + "|".join(BOILERPLATE))
+    return (n > 0) & (punctuation | navigation | boilerplate)
 
 
 def clean(docs, text_col="text", least_kept=LEAST_KEPT):
@@ -126,16 +137,28 @@ def clean(docs, text_col="text", least_kept=LEAST_KEPT):
     """
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
     judged = let(
-        F.transform(lines, lambda x: F.struct(x.alias("line"), line_fails(x).alias("fails"))),
+        F.transform(
+            lines,
+            lambda x: let(
+                words(x),
+                lambda w: let(
+                    solid_of(w),
+                    lambda solid: F.struct(x.alias("line"), solid.alias("solid"), _fails(x, solid, F.size(w)).alias("fails")),
+                ),
+            ),
+        ),
         lambda all_lines: F.struct(
-            F.size(F.filter(all_lines, lambda x: F.length(F.translate(x["line"], SPACE, "")) > 0)).alias("lines"),
+            F.size(F.filter(all_lines, lambda x: x["solid"] > 0)).alias("lines"),
             F.size(F.filter(all_lines, lambda x: x["fails"])).alias("removed"),
             F.array_join(
                 F.transform(F.filter(all_lines, lambda x: ~x["fails"]), lambda x: x["line"]), "\n"
             ).alias("text"),
+            F.aggregate(
+                all_lines, F.lit(0).cast("long"), lambda a, x: a + F.when(x["fails"], 0).otherwise(x["solid"])
+            ).alias("solid"),
         ),
     )
-    solid = F.length(F.translate(F.col("_judged.text"), SPACE, ""))
+    solid = F.col("_judged.solid")
     return (
         base(docs, text_col)
         .withColumn("_judged", judged)
