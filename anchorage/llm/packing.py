@@ -10,25 +10,24 @@ epoch, so a repeated task gives the same packing.
 """
 
 import os
-import re
 import unicodedata
 import zlib
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import functions as F
 
-from anchorage.llm.bpe import REMEMBERED
-from anchorage.llm.common import TOGETHER, Ids
+from anchorage.llm.common import TOGETHER
+from anchorage.llm.spelled import Words
 from anchorage.llm.tokens import SPACE
 from anchorage.sources import sinks
 
 # fixed values: how the lower-casing word BPE cuts a text; white space is dropped
 WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 GAPS = regex.compile(f"[{SPACE}]+")
-SEPARATORS = re.compile(r"[\x1c-\x1f]")
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 3, 6, 4
 
 
@@ -49,7 +48,7 @@ class WordIds:
         vocab = self.words.get_vocab(with_added_tokens=False)
         self.ending = np.zeros(max(vocab.values()) + 1, bool)
         self.ending[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.ids, self.chunks = {}, Ids(self.learn, 1 << 20)
+        self.chunks = Words(self.learn)
         self.same, self.odd = set(), set()
 
     def agrees(self, char):
@@ -77,63 +76,50 @@ class WordIds:
             return self.whole.normalizer.normalize_str(text)
         return unicodedata.normalize("NFC", text).lower()
 
-    def learn(self, chunks):
-        """Ids of new runs between white space; no piece reaches beyond one."""
-        cut = []
-        for c in chunks:
-            if c.isalpha():
-                cut.append((c,))
-            elif c[-1:] in (".", ",") and c[:-1].isalpha():
-                cut.append((c[:-1], c[-1]))
-            else:
-                cut.append(WORDS.findall(c))
-        if len(self.ids) >= REMEMBERED // 2:
-            self.ids = {}
-        new = list({w for found in cut for w in found if w not in self.ids})
-        for k in range(0, len(new), 4096):
-            self.ids.update(self.library(new[k : k + 4096]))
-        ids = self.ids
-        if any(ids[w] is None for w in new):  # words that run into each other: the library takes the whole run
-            return [
-                self.library_ids(c) if any(ids[w] is None for w in found) else [i for w in found for i in ids[w]]
-                for c, found in zip(chunks, cut)
-            ]
-        return [[i for w in found for i in ids[w]] for found in cut]
+    def learn(self, words):
+        """Ids of new words in a row, and how many each has."""
+        found = [self.library(words[k : k + 4096]) for k in range(0, len(words), 4096)]
+        return [np.concatenate(x) for x in zip(*found)]
 
     def library_ids(self, text):
-        return self.words.encode(text, add_special_tokens=False).ids
+        return np.array(self.words.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def library(self, words):
-        """(word, ids) by the library, all in one text: a word's last id is one that ends words.
+        """Ids and their numbers by the library, all in one text: a word's last id is one that ends words.
 
-        Where the words cannot be told apart, each half is tried; no ids for a single one.
+        Where the words cannot be told apart, each half is tried; a single one has then no ids (-1).
         """
-        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids)
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.ending[ids]) + 1
-        if len(ends) != len(words) or ends[-1] != len(ids):
-            half = len(words) // 2
-            return self.library(words[:half]) + self.library(words[half:]) if half else [(words[0], None)]
-        ids, ends = ids.tolist(), [0, *ends.tolist()]
-        return [(w, ids[a:b]) for w, a, b in zip(words, ends, ends[1:])]
-
-    def runs(self, text):
-        """A text's runs between white space, or the library's ids where it may cut otherwise."""
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            return ids, np.diff(ends, prepend=0)
+        half = len(words) // 2
+        if not half:
+            return ids[:0], np.array([-1])
+        return [np.concatenate(x) for x in zip(self.library(words[:half]), self.library(words[half:]))]
+
+    def parts(self, text):
+        """A text in parts that are cut into words, or the library's ids where it may cut otherwise."""
         if not self.known(text):
             self.whole.encode_special_tokens = True  # no mark is in here
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        text = self.normal(text)
-        # Python's split also cuts at four control characters, which are no white space here
-        return [w for w in GAPS.split(text) if w] if SEPARATORS.search(text) else text.split()
+            return [np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)]
+        text, out, at = self.normal(text), [], 0
+        while len(text) - at > TOGETHER and (gap := GAPS.search(text, at + TOGETHER)):
+            out.append(text[at : gap.start()])
+            at = gap.end()
+        return [*out, text[at:]]
 
     def encode(self, text):
         return next(self.encode_each([text]))
 
     def encode_each(self, texts):
-        """Ids of each text; the runs of some texts are looked up together."""
+        """Ids of each text; the words of some texts are looked up together."""
         held, size = [], 0
         for text in texts:
-            parts = enumerate(self.marks.split(text))
-            held.append([np.array([self.special[p]], np.uint32) if i % 2 else self.runs(p) for i, p in parts])
+            found = []
+            for i, p in enumerate(self.marks.split(text)):
+                found += [np.array([self.special[p]], np.uint32)] if i % 2 else self.parts(p)
+            held.append(found)
             size += len(text)
             if size >= TOGETHER:
                 yield from self.together(held)
@@ -142,11 +128,23 @@ class WordIds:
             yield from self.together(held)
 
     def together(self, held):
-        found = iter(self.chunks.of_each([p for parts in held for p in parts if isinstance(p, list)]))
+        found = self.looked_up(p for parts in held for p in parts if isinstance(p, str))
         for parts in held:
-            parts = [next(found) if isinstance(p, list) else p for p in parts]
+            parts = [next(found) if isinstance(p, str) else p for p in parts]
             yield parts[0] if len(parts) == 1 else np.concatenate(parts)
 
+    def looked_up(self, texts):
+        """Ids of each text; as many as have TOGETHER characters at once."""
+        held, size = [], 0
+        for text in chain(texts, [None]):
+            if text is not None:
+                held.append(text)
+                size += len(text)
+            if size >= TOGETHER or (text is None and held):
+                for t, ids in zip(held, self.chunks.of_each(held)):
+                    yield self.library_ids(t) if ids is None else ids
+                held, size = [], 0
+
 
 @cache
 def word_ids(path):
