@@ -36,12 +36,11 @@ class WordIds:
 
     def __init__(self, path):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = normalizers.Sequence([])
-        self.words.encode_special_tokens = True
+        self.words = Tokenizer(self.whole.model)  # the same vocabulary in memory, without normalizer and added tokens
+        self.words.pre_tokenizer = self.whole.pre_tokenizer
         added = self.whole.get_added_tokens_decoder()
         self.special = {t.content: i for i, t in added.items()}
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")" if added else r"((?!))")
